@@ -89,7 +89,7 @@ WITH w AS (
   SELECT 1, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark),
 s AS (
   SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM w),
-n AS (SELECT id, count(*) AS n FROM s WHERE side = 1 GROUP BY id)
+n AS (SELECT id, count(*) AS n FROM s WHERE side = 1 GROUP BY id),
 p AS (
   SELECT d.id AS doc_id, i.id AS item_id, n.n AS n_item, count(*) AS n_shared
   FROM s d JOIN s i USING (shingle) JOIN n ON n.id = i.id WHERE d.side = 0 AND i.side = 1 GROUP BY d.id, i.id, n.n)

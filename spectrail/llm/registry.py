@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spectrail.llm.bpe import op8_bpe_round_trip
 from spectrail.llm.decontaminate import OP9_SQL, op9_decontamination
+from spectrail.llm.jaccard import OP10_SQL, op10_jaccard_join
 from spectrail.llm.pii import op7_pii
 from spectrail.llm.sharding import OP1_SQL, op1_interleaved_shards
 from spectrail.llm.token_files import op5_token_files
@@ -17,8 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interleaved_shards, op2_top_k, op5_token_files, op7_pii, op8_bpe_round_trip, op9_decontamination)}
+    return {f.__name__: f for f in (op1_interleaved_shards, op2_top_k, op5_token_files, op7_pii, op8_bpe_round_trip, op9_decontamination, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_interleaved_shards": OP1_SQL, "op2_top_k": OP2_SQL, "op9_decontamination": OP9_SQL}
+    return {"op1_interleaved_shards": OP1_SQL, "op2_top_k": OP2_SQL, "op9_decontamination": OP9_SQL, "op10_jaccard_join": OP10_SQL}
