@@ -98,13 +98,13 @@ def _tokens(path: str, pattern: str) -> list[bytes]:
     return out
 
 
-def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, leaf: int = LEAF) -> DataFrame:
+def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, keep_decoded: bool = True, leaf: int = LEAF) -> DataFrame:
     """Ids and decoded bytes of every whole text.
 
     Nothing is shuffled; a task holds one slice of documents. Null texts are empty: no ids,
     no bytes. Texts of any length go through the same tree. Repeated rows and null ids are
     kept as they come; other columns, whatever their names, are ignored.
-    Columns: id, n_tokens, ids_sha256, decoded_sha256, and with ``keep_ids`` ids, decoded.
+    Columns: id, n_tokens, ids_sha256, decoded_sha256, and if kept ids, decoded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,20 +116,21 @@ def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id"
                     ids = encode_tree(text or "", encode, leaf)
                     decoded = decode_tree(ids, token, leaf)
                     row = [len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
-                    for x, value in zip(out[1:], row + ([np.asarray(ids, np.int32), decoded] if keep_ids else []), strict=True):
+                    for x, value in zip(out[1:], row + [np.asarray(ids, np.int32)] * keep_ids + [decoded] * keep_decoded, strict=True):
                         x.append(value)
                 yield pa.RecordBatch.from_arrays([batch.column(id_col), *(pa.array(x, t) for x, (_, t) in zip(out[1:], schema[1:], strict=True))], [c for c, _ in schema])
 
     kind = df.schema[id_col].dataType.simpleString()
     schema: list[tuple[str, pa.DataType | None]] = [(id_col, None), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     ddl = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if keep_ids:
-        schema += [("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]
-        ddl += ", ids array<int>, decoded binary"
+    for keep, name, arrow, sql in ((keep_ids, "ids", pa.list_(pa.int32()), "array<int>"), (keep_decoded, "decoded", pa.binary(), "binary")):
+        if keep:
+            schema.append((name, arrow))
+            ddl += f", {name} {sql}"
     return df.select(id_col, text_col).mapInArrow(run, ddl)
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False, keep_decoded=False)

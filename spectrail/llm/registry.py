@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from spectrail.llm.bpe import op8_bpe_round_trip
 from spectrail.llm.decontaminate import OP9_SQL, op9_decontamination
 from spectrail.llm.jaccard import OP10_SQL, op10_jaccard_join
+from spectrail.llm.language import op4_language
 from spectrail.llm.pii import op7_pii
+from spectrail.llm.secrets import op3_secrets
 from spectrail.llm.sharding import OP1_SQL, op1_interleaved_shards
 from spectrail.llm.token_files import op5_token_files
 from spectrail.llm.topk import OP2_SQL, op2_top_k
@@ -18,7 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_interleaved_shards, op2_top_k, op5_token_files, op7_pii, op8_bpe_round_trip, op9_decontamination, op10_jaccard_join)}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_interleaved_shards, op2_top_k, op3_secrets, op4_language, op5_token_files, op7_pii, op8_bpe_round_trip, op9_decontamination, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
