@@ -13,7 +13,7 @@ def spark():
     from spectrail.session import locate
 
     session = (
-        SparkSession.builder.master("local[8]").appName("spectrail-tests")
+        SparkSession.builder.master("local[3]").appName("spectrail-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
