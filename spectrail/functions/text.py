@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _number(text: Column) -> Column:
@@ -49,7 +50,7 @@ def normal_id(identifier: Column, pattern: str | None = None) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group)).otherwise(text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def format_10g(value: pd.Series) -> pd.Series:
     """``%.10g`` of C, which Java's formatter lacks; null and NaN are empty."""
     out = np.char.mod("%.10g", value.fillna(0.0).to_numpy(np.float64))

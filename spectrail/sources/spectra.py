@@ -54,12 +54,12 @@ def read_mgf(spark: SparkSession, path: str, dropped: list | None = None) -> Dat
     """identifier, scans, precursor_mz, precursor_charge, retention_time, mz_array, intensity_array; file order in ``__order``.
 
     Text is split at END IONS, so a plain file is read in parallel. Of a block counts what follows its last
-    BEGIN IONS. Peak lines need two numbers, others are dropped; so are blocks without a header or peak line.
+    BEGIN IONS; a last block without END IONS counts too. Peak lines need two numbers, others are dropped; so are blocks without a header or peak line.
     With ``dropped``, a list, (lines, blocks) dropped are counted and appended.
     """
     blocks = spark.read.text(path, lineSep="END IONS").withColumn("__order", F.monotonically_increasing_id())
     body = F.regexp_extract(F.regexp_replace("value", "\r", ""), r"(?is)^(?:.*\n)?\s*BEGIN IONS[ \t]*\n(.*)$", 1)
-    lines = F.filter(F.transform(F.split(body, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(body, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     df = blocks.select("__order", (F.trim(F.regexp_replace("value", r"\s", "")) == "").alias("blank"), lines.alias("lines"))
     headers = F.filter("lines", lambda x: x.contains("="))
     pairs = F.transform(F.filter("lines", lambda x: ~x.contains("=")), lambda x: F.split(x, r"\s+"))
@@ -69,7 +69,7 @@ def read_mgf(spark: SparkSession, path: str, dropped: list | None = None) -> Dat
     if dropped is not None:
         r = df.agg(F.sum(F.size("pairs") - F.size("peaks")), F.count_if((F.size("peaks") == 0) & ~F.col("blank"))).first()
         dropped.append((r[0] or 0, r[1]))
-    value = lambda key: F.element_at(F.filter("headers", lambda x: F.upper(F.trim(F.split_part(x, F.lit("="), F.lit(1)))) == key), -1)
+    value = lambda key: F.try_element_at(F.filter("headers", lambda x: F.upper(F.trim(F.split_part(x, F.lit("="), F.lit(1)))) == key), F.lit(-1))
     text = lambda key: F.trim(F.regexp_extract(value(key), r"^[^=]*=(.*)$", 1))
     df = df.where(F.size("peaks") > 0)
     return df.select(
