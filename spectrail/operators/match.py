@@ -25,7 +25,7 @@ def nearest_peaks(ions: DataFrame, peaks: DataFrame, by: str, tolerance: float =
     peak = F.struct(F.col(mz).alias("mz"), F.col(intensity).alias("intensity"))
     left = ions.select(F.col(by).alias("__by"), F.col(mz).alias("__mz"), F.lit(0).alias("__kind"), F.lit(0).cast("long").alias("__index"), F.lit(None).cast(f"struct<mz:{peaks.schema[mz].dataType.simpleString()},intensity:{peaks.schema[intensity].dataType.simpleString()}>").alias("__peak"), F.struct(*keep).alias("__ion"))
     right = peaks.select(F.col(by).alias("__by"), F.col(mz).alias("__mz"), F.lit(1).alias("__kind"), index.alias("__index"), peak.alias("__peak"), F.lit(None).cast(left.schema["__ion"].dataType).alias("__ion"))
-    rows = left.unionByName(right).repartition("__by")
+    rows = left.unionByName(right)
     up = Window.partitionBy("__by").orderBy("__mz", "__kind", "__index").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy("__by").orderBy(F.desc("__mz"), F.desc("__kind"), F.desc("__index")).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("__low", F.last("__peak", True).over(up)).withColumn("__high", F.last("__peak", True).over(down)).where("__kind = 0")

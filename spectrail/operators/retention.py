@@ -13,22 +13,56 @@ def half_even(n: int, fraction: float) -> int:
     return max(1, round(n * fraction))
 
 
+#: Cells of one pass of the search for the n-th value.
+CELLS = 1024
+
+
+def nth_largest(rows: DataFrame, column: str, n: int) -> tuple[float, int]:
+    """(value, k): the n-th largest value of a column without nulls, and which of its equals the n-th is.
+
+    Counts in ``CELLS`` cells of the range, then again in the one that holds the n-th, until it is a single
+    value: a few narrow aggregates, whatever n is. A limit would carry n rows to one task.
+    """
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    while low < high:
+        part = rows.where(F.col(column).between(low, high))
+        cell = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit((high - low) or 1.0) * CELLS), F.lit(CELLS - 1))
+        cells = part.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        for r in sorted(cells.collect(), key=lambda r: -r["high"]):  # at most CELLS rows
+            if n <= r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            n -= r["n"]
+    return high, n
+
+
+def top_n(rows: DataFrame, n: int, score: Column, row_id: str = ROW_ID) -> DataFrame:
+    """The n rows of highest score, ties by row id, nulls and NaN last; all rows if there are fewer."""
+    value = F.nanvl(score.cast("double"), F.lit(None).cast("double"))
+    rows = rows.withColumn("__s", value).withColumn("__o", -F.col(row_id).cast("long"))
+    known, total = rows.agg(F.count("__s"), F.count(F.lit(1))).first()
+    if n >= total:
+        return rows.drop("__s", "__o")
+    if n < known:
+        at, k = nth_largest(rows.where("__s IS NOT NULL"), "__s", n)
+        above, ties = F.col("__s") > F.lit(at), F.col("__s") == F.lit(at)
+    else:
+        k, above, ties = n - known, F.col("__s").isNotNull(), F.col("__s").isNull()
+    last = nth_largest(rows.where(ties), "__o", k)[0] if k else None
+    kept = above if last is None else above | ties & (F.col("__o") >= F.lit(last))
+    return rows.where(kept).drop("__s", "__o")
+
+
 def calibration_set(rows: DataFrame, fraction: float = 0.15, score: str = "Xcorr") -> DataFrame:
     """The top ``fraction`` of targets with a retention time, by score; ties and nulls by row order.
 
-    The cut is exact: the n-th best score is found first, by a top-n that keeps n rows of each
-    task, and only rows at or above it are numbered. Fails if there is no such target.
+    Fails if there is no such target.
     """
-    targets = rows.where("Label = 1 AND observed_retention_time > 0").withColumn("__s", F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")))
+    targets = rows.where("Label = 1 AND observed_retention_time > 0")
     n = targets.count()
     if not n:
         raise ValueError("no target has a retention time: nothing to calibrate on")
-    top = targets.orderBy(F.desc_nulls_last("__s"), ROW_ID).limit(half_even(n, fraction))
-    return top.drop("__s")
-
-
-def top_fraction(rows: DataFrame, fraction: float, order: list[Column]) -> DataFrame:
-    return rows.orderBy(*order).limit(half_even(rows.count(), fraction))
+    return top_n(targets, half_even(n, fraction), F.col(score))
 
 
 def knots(rows: DataFrame, bins: int = 20) -> list[tuple[float, float]]:

@@ -35,9 +35,10 @@ def with_ranks(ions: DataFrame, keys: list[str]) -> DataFrame:
     out = ions
     for value, name in (("xl", "rx"), ("yl", "ry")):
         for cols, suffix in ((keys, "spec"), ([*keys, "ion"], "ion")):
-            w = Window.partitionBy(*cols)
-            ties = F.count(F.lit(1)).over(Window.partitionBy(*cols, value))
-            out = out.withColumn(f"{name}_{suffix}", F.rank().over(w.orderBy(value)) + (ties - 1) / 2.0)
+            w = Window.partitionBy(*cols).orderBy(value)
+            # peers of a row are its range frame: one sort gives both rank and ties
+            ties = F.count(F.lit(1)).over(w.rangeBetween(Window.currentRow, Window.currentRow))
+            out = out.withColumn(f"{name}_{suffix}", F.rank().over(w) + (ties - 1) / 2.0)
     return out
 
 
@@ -50,7 +51,7 @@ def similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None =
     """
     wanted = only or SPECTRAL_FEATURES
     rows = ions.select(*keys, "ion", F.col("predicted").cast("double").alias("x"), F.col("observed").cast("double").alias("y"))
-    rows = rows.withColumn("xl", linear_intensity(F.col("x"), OFFSET)).withColumn("yl", linear_intensity(F.col("y"), OFFSET)).repartition(*keys)
+    rows = rows.withColumn("xl", linear_intensity(F.col("x"), OFFSET)).withColumn("yl", linear_intensity(F.col("y"), OFFSET))
     spearman = any("spearman" in c for c in wanted)
     if spearman:
         rows = with_ranks(rows, keys)

@@ -151,6 +151,12 @@ def test_times(spark):
     assert [r[ROW_ID] for r in retention.calibration_set(rows, 0.5).orderBy(ROW_ID).collect()] == [1, 3]
     with pytest.raises(ValueError, match="calibrate"):
         retention.calibration_set(rows.where("Label = 0"))
+    r = random.Random(3)
+    data = [(i, r.choice([None, float("nan"), 1.5, -2.0, 1e300, r.random(), r.random()])) for i in range(300)]
+    many = spark.createDataFrame(data, f"{ROW_ID} long, s double")
+    order = sorted(data, key=lambda x: (x[1] is None or x[1] != x[1], -(x[1] or 0) if x[1] == x[1] else 0, x[0]))
+    for n in (1, 37, 150, 240, 299, 300, 500):
+        assert sorted(x[ROW_ID] for x in retention.top_n(many, n, F.col("s")).collect()) == sorted(x[0] for x in order[:n])
     base = retention.base_features(rows)
     for best in (retention.best_per_peptide, retention.best_by_window):
         got = {r[ROW_ID]: (r.rt_diff, r.observed_retention_time_best, r.rt_diff_best) for r in best(base).collect()}
