@@ -49,6 +49,18 @@ def _ending(head: str) -> Column:
     return F.filter("names", lambda x: x.rlike(f"{head}_[NC]-term$"))
 
 
+#: Dictionary rows up to which it is brought to the driver once and broadcast; a larger one is joined as it is.
+BROADCAST_MODS = 200_000
+
+
+def _chosen(mods: DataFrame) -> tuple[dict[str, DataFrame], bool]:
+    known = classify(mods)
+    held, small = {by: candidates(known, by) for by in ("unimod_id", "base")}, mods.count() <= BROADCAST_MODS
+    if small:
+        held = {by: mods.sparkSession.createDataFrame(df.collect(), df.schema) for by, df in held.items()}
+    return held, small
+
+
 def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
     """Names and sites of tokens (keys, place, position, token, sequence).
 
@@ -58,7 +70,7 @@ def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
     N-terminal form on the first residue, then the residue, then the C-terminal form on the last.
     Ambiguous candidates and unknown ids fail the query.
     """
-    known = classify(mods)
+    held, small = _chosen(mods)
     t = tokens.withColumn("token", F.trim("token"))
     t = t.withColumn("__id", F.regexp_extract("token", r"(?i)^(?:UNIMOD:)?([0-9]+)$", 1).try_cast("long"))
     n = F.length("sequence")
@@ -75,10 +87,10 @@ def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
     wanted, site = F.lit(None).cast("struct<name:string,site:string,known:boolean>"), {"nterm_residue": F.lit("0"), "nterm": F.lit("0"), "residue": F.col("position").cast("string"), "cterm_residue": F.lit("-1"), "cterm": F.lit("-1")}
     for kind, applies in order.items():
         for by, key in (("unimod_id", "__id"), ("base", "__name")):
-            found = candidates(known, by).where(F.col("class") == kind).select(F.col(by).alias("__k"), F.col("residue").alias("__r"), F.col("chosen").alias(f"__{kind}_{by}"), F.col("known").alias(f"__{kind}_{by}_k"))
+            found = held[by].where(F.col("class") == kind).select(F.col(by).alias("__k"), F.col("residue").alias("__r"), F.col("chosen").alias(f"__{kind}_{by}"), F.col("known").alias(f"__{kind}_{by}_k"))
             side = F.when(F.col("__id").isNotNull(), by == "unimod_id").otherwise(by == "base")
             match = side & applies & (F.col(key) == F.col("__k")) & (F.col("__r") == (F.col("__residue") if kind.endswith("residue") else F.lit("")))
-            t = t.join(F.broadcast(found.limit(1_000_000)), match, "left").drop("__k", "__r")
+            t = t.join(F.broadcast(found) if small else found, match, "left").drop("__k", "__r")
             hit = F.when(F.col(f"__{kind}_{by}_k"), F.struct(F.col(f"__{kind}_{by}").alias("name"), site[kind].alias("site"), F.lit(True).alias("known")))
             wanted = F.coalesce(wanted, hit)
     explicit = F.regexp_extract("token", r"@([^@]*)$", 1)

@@ -290,6 +290,41 @@ def mod_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modifications.classify(table(spark, sf_dir, "part").select(name.alias("mod_name"), F.expr("CAST(p_partkey % 50 - 5 AS BIGINT)").alias("unimod_id")))
 
 
+@query("""WITH t AS (SELECT o_orderkey, unnest(list_filter(string_split(o_orderkey % 5 || ':35; ;-1:' || o_custkey % 90 || ';', ';'), lambda x: trim(x) <> '')) AS p FROM orders)
+SELECT o_orderkey, split_part(p, ':', 1)::INTEGER AS pos, split_part(p, ':', 2)::INTEGER AS unimod FROM t""")
+def mod_site_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = F.expr("o_orderkey % 5 || ':35; ;-1:' || o_custkey % 90 || ';'")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.inline(peptide.mod_sites(sites)))
+
+
+@query(f"""SELECT c_custkey, {_LETTERS} || 'MK' AS sequence, (c_custkey % 5 + 1)::INTEGER AS charge,
+  CASE WHEN c_custkey % 2 = 0 THEN 'n0:Acetyl;' ELSE '' END || 'r' || (length({_LETTERS}) + 1) || ':Oxidation' || CASE WHEN c_custkey % 3 = 0 THEN ';c-1:Amidated' ELSE '' END AS tokens FROM customer""")
+def proforma_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = F.expr(f"CASE WHEN c_custkey % 2 = 0 THEN '[Acetyl]-' ELSE '' END || {_LETTERS} || 'M[Oxidation]K' || CASE WHEN c_custkey % 3 = 0 THEN '-[Amidated]' ELSE '' END || '/' || (c_custkey % 5 + 1)")
+    got = table(spark, sf_dir, "customer").select("c_custkey", modifications.proforma_tokens(written).alias("p")).select("c_custkey", "p.*")
+    return got.withColumn("tokens", F.array_join(F.transform("tokens", lambda t: F.concat(t["place"], t["position"].cast("string"), F.lit(":"), t["token"])), ";"))
+
+
+_DICTIONARY = [("Oxidation@M", 35), ("Acetyl@Any_N-term", 1), ("Acetyl@Protein_N-term", 1), ("Amidated@Any_C-term", 2), ("Gln->pyro-Glu@Q^Any_N-term", 28), ("Oxidation@K^Any_C-term", 35)]
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Oxidation@M' WHEN 1 THEN 'Acetyl@Any_N-term' WHEN 2 THEN 'Own@M' WHEN 3 THEN 'Gln->pyro-Glu@Q^Any_N-term' ELSE 'Oxidation@K^Any_C-term' END AS mod,
+  CASE c_custkey % 5 WHEN 0 THEN '2' WHEN 1 THEN '0' WHEN 2 THEN '2' WHEN 3 THEN '0' ELSE '-1' END AS site FROM customer""")
+def mod_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey") % 5
+    place = F.when(k == 1, "n").otherwise("r")
+    position = F.when(k == 3, 1).when(k == 4, 3).otherwise(2)
+    token = F.when(k == 0, "UNIMOD:35").when(k == 1, " acetyl ").when(k == 2, "Own").when(k == 3, "pyro-glu").otherwise("35")
+    tokens = table(spark, sf_dir, "customer").select("c_custkey", place.alias("place"), position.alias("position"), token.alias("token"), F.lit("QMK").alias("sequence"))
+    return modifications.resolve(tokens, spark.createDataFrame(_DICTIONARY, "mod_name string, unimod_id long"), ["c_custkey"]).select("c_custkey", "mod", "site")
+
+
+@query("""SELECT event_id, round(CASE WHEN value < 50 THEN 5 + value * 0.5::DOUBLE WHEN value < 100 THEN 30 + (value - 50) * 0.2::DOUBLE ELSE 40 + (value - 100) * 1.5::DOUBLE END, 6) AS calibrated FROM events""")
+def rt_calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = [(0.0, 5.0), (50.0, 30.0), (100.0, 40.0), (200.0, 190.0)]
+    return table(spark, sf_dir, "events").select("event_id", F.round(retention.calibrate(F.col("value"), at), 6).alias("calibrated"))
+
+
 # --- caches
 
 
