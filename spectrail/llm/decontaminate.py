@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spectrail.llm._shared import table
+from spectrail.llm._shared import table, written
 
 #: Words of a shingle; the share of an item's shingles that a document must hold, as a fraction.
 WORDS, SHARE = 5, (4, 5)
@@ -53,29 +53,44 @@ def item_index(items: DataFrame, item_col: str = "item_id", text_col: str = "tex
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", words: int = WORDS, share: tuple[int, int] = SHARE, broadcast_up_to: int = BROADCAST_SHINGLES) -> DataFrame:
     """Pairs of document and benchmark item of which the document holds at least ``share``.
 
-    One pass: every document's shingle hashes probe the item index. A pair is a candidate
-    if a sketch shingle hits, and stays if the distinct shingles found (compared as text)
-    reach the need. Documents are never shuffled; only hits are, by pair, so a passage that
-    sits in a third of all documents is no hot key. The index is broadcast only while it
-    has ``broadcast_up_to`` shingles at most, else joined by shuffle. Words are lower-cased runs
-    of letters and digits. Null and empty texts match nothing; rows with equal ids count as
-    one document; a null id is one too. Columns: id, item_id, n_item, n_shared, containment.
+    Search: every document's shingle hashes up to the sketches' largest probe the sketches; a pair with a
+    hit is a candidate. Verification: the candidates' documents alone give all their shingles, which are compared
+    as text with all of the item's; a pair stays if the distinct ones reach the need.
+    Only candidates are shuffled, by pair, so a passage that sits in a third of all documents is no hot
+    key. The index is broadcast only while it has ``broadcast_up_to`` shingles at most, else joined by
+    shuffle; so, by Spark's own threshold, are the candidates' ids. Words are lower-cased runs of letters and
+    digits. Null and empty texts match nothing; rows with equal ids count as one document; a null id is
+    one too. Columns: id, item_id, n_item, n_shared, containment.
     """
-    index = item_index(items, item_col, item_text_col, words, share)
-    sizes = {r["width"]: r["n"] for r in index.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``words`` rows
-    small = sum(sizes.values()) <= broadcast_up_to
+    index = written(item_index(items, item_col, item_text_col, words, share), "items")
+    stats = index.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("sketch"), F.col("__hash"))).alias("top")).collect()  # at most ``words`` rows
+    tops = {r["width"]: r["top"] for r in stats}
+    small = sum(r["n"] for r in stats) <= broadcast_up_to
     base = docs.select(F.col(id_col).alias("__id"), normal_words(F.col(text_col)).alias("__words"))
-    hits = None
-    for n in sorted(sizes) or [words]:
-        probe = _shingles(base, ["__id"], "__words", n)
-        part = index.where(F.col("width") == n).withColumnRenamed("__hash", "__key")
-        part = probe.join(F.broadcast(part) if small else part, F.col("__hash") == F.col("__key"))
-        part = part.where(F.concat_ws(" ", *(f"__w{i}" for i in range(n))) == F.col("shingle")).select("__id", "item_id", "ordinal", "n", "need", "sketch")
-        hits = part if hits is None else hits.unionByName(part)
-    pairs = hits.groupBy("__id", "item_id", "n", "need", "ordinal").agg(F.max("sketch").alias("sketch"))
-    pairs = pairs.groupBy("__id", "item_id", "n", "need").agg(F.max("sketch").alias("hit"), F.count(F.lit(1)).alias("shared"))
-    return pairs.where(F.col("hit") & (F.col("shared") >= F.col("need"))).select(
-        F.col("__id").alias(id_col), "item_id", F.col("n").alias("n_item"), F.col("shared").alias("n_shared"), (F.col("shared") / F.col("n")).alias("containment"))
+
+    def probe(of: DataFrame, sketch: bool) -> DataFrame:
+        """Hits of the documents' shingles in the index or its sketches: (id, item_id, ordinal, n, need)."""
+        hits = None
+        for width in sorted(tops) or [words]:
+            shingles = _shingles(of, ["__id"], "__words", width)
+            part = index.where(F.col("width") == width).withColumnRenamed("__hash", "__key")
+            if sketch:
+                shingles, part = shingles.where(F.col("__hash") <= F.lit(tops.get(width, 0))), part.where("sketch")
+            part = shingles.join(F.broadcast(part) if small else part, F.col("__hash") == F.col("__key"))
+            if not sketch:
+                part = part.where(F.concat_ws(" ", *(f"__w{i}" for i in range(width))) == F.col("shingle"))
+            part = part.select("__id", "item_id", "ordinal", "n", "need")
+            hits = part if hits is None else hits.unionByName(part)
+        return hits
+
+    candidates = written(probe(base, True).select("__id", "item_id").distinct(), "candidates")
+    ids = candidates.select(F.col("__id").alias("__c")).distinct()
+    held = base.join(ids, F.col("__id").eqNullSafe(F.col("__c")), "left_semi")
+    shared = probe(held, False).groupBy("__id", "item_id", "n", "need", "ordinal").agg(F.lit(1).alias("one"))
+    shared = shared.groupBy("__id", "item_id", "n", "need").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= F.col("need"))
+    found = candidates.select(F.col("__id").alias("__c"), F.col("item_id").alias("__i"))
+    pairs = shared.join(found, F.col("__id").eqNullSafe(F.col("__c")) & F.col("item_id").eqNullSafe(F.col("__i")), "left_semi")
+    return pairs.select(F.col("__id").alias(id_col), "item_id", F.col("n").alias("n_item"), F.col("shared").alias("n_shared"), (F.col("shared") / F.col("n")).alias("containment"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

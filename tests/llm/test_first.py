@@ -190,3 +190,11 @@ def test_decontamination(spark):
                     want[doc_id, item_id] = (len(own), shared)
         assert got == want and want
     assert decontaminate.contaminated(d.limit(0), b).count() == 0 == decontaminate.contaminated(d, b.limit(0)).count()
+
+
+def test_write_shards(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}", "ab"[i % 3 == 0]) for i in range(30)], "doc_id long, text string, source string")
+    assigned = sharding.assign_shards(docs, 4)
+    sharding.write_shards(docs, assigned, f"{tmp_path}/out")
+    got = {(r.doc_id, r.shard, r.slot, r.text) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(r.doc_id, r.shard, r.slot, f"text {r.doc_id}") for r in assigned.collect()}
