@@ -18,7 +18,9 @@ from spectrail.llm.fm_index import FMIndex
 #: Words of a window; words of the grams of which the least-hashed one anchors a window; a power of two grams fit in a window.
 WINDOW, GRAM = 13, 6
 #: Words of the corpus for each shard; entries of a task's memory of passages.
-SHARD_WORDS, REMEMBERED = 1_000_000, 400_000
+SHARD_WORDS, REMEMBERED = 200_000, 300_000
+#: Runs under one anchor from which they are dealt window by window.
+HOT_RUNS = 1000
 
 
 def text_keys(words: Words) -> np.ndarray:
@@ -81,9 +83,9 @@ def _anchors(window: int, gram: int):
     return run
 
 
-def _passages(window: int, gram: int, shards: int, bitmap):
+def _passages(window: int, gram: int, shards: int, bitmap, hot):
     """Runs whose anchor may be shared: to a shard with their words; or, if the task has passed on the same words
-    under a smaller id, at once as repeated."""
+    under a smaller id, at once as repeated. Runs under a hot anchor go window by window, to the window's own shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[int, int] = {}
@@ -95,6 +97,11 @@ def _passages(window: int, gram: int, shards: int, bitmap):
                 doc, anchor, at, count = anchored_runs(words, window, gram)
                 take = np.flatnonzero(_fresh(ids, keys, least)[doc] & may_hold(bitmap.value, signed(anchor)))
                 doc, anchor, at, count = doc[take], anchor[take], at[take], count[take]
+                split = may_hold(hot.value, signed(anchor))
+                if split.any():
+                    owner, place = ranges(at[split], count[split])
+                    doc, anchor = np.append(doc[~split], doc[split][owner]), np.append(anchor[~split], gram_hash(words.hash, place, window))
+                    at, count = np.append(at[~split], place), np.append(count[~split], np.ones(len(place), np.int64))
                 if len(passed) > REMEMBERED:
                     passed.clear()
                 same = gram_hash(words.hash, at, count + window - 1).tolist()
@@ -224,6 +231,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     3. Shards by anchor: equal windows meet in one shard, whatever their number of documents. A shard is
        indexed (``FMIndex``) and its passages streamed through it: backward search gives all occurrences of
        each window, and their least id. A passage that a task has passed on under a smaller id is not sent again.
+       Under an anchor of ``HOT_RUNS`` runs or more, windows go one by one to shards by their own hash, where equal
+       ones still meet: so a passage of a third of all documents is no hot shard.
     4. Intervals come back to the texts that may have any; other texts are never shuffled.
 
     Words are runs without the six ASCII white-space bytes, unchanged. Null, empty and short texts lose nothing. Rows
@@ -239,9 +248,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     total = described.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
     anchors = owned.mapInArrow(_anchors(window, gram), "anchor long, key long")
-    shared = anchors.repartition("anchor").groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("anchor")
-    bitmap = IdFilter(written(shared, "anchors"), "anchor").bitmap
-    passages = written(owned.mapInArrow(_passages(window, gram, shards, bitmap), "shard int, doc_id long, key long, at int, count int, symbols binary"), "passages")
+    shared = anchors.repartition("anchor").groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
+    shared = written(shared.select("anchor", "n"), "anchors")
+    bitmap, hot = IdFilter(shared, "anchor").bitmap, IdFilter(shared.where(F.col("n") >= HOT_RUNS), "anchor").bitmap
+    passages = written(owned.mapInArrow(_passages(window, gram, shards, bitmap, hot), "shard int, doc_id long, key long, at int, count int, symbols binary"), "passages")
     searched = passages.where("symbols is not null").select("shard", "doc_id", "key", "at", "symbols").repartition("shard").sortWithinPartitions("shard")
     searched = searched.mapInArrow(_searched(window), "doc_id long, key long, `from` int, `to` int")
     known = passages.where("symbols is null").select("doc_id", "key", F.col("at").alias("from"), (F.col("at") + F.col("count") + window - 1).alias("to"))

@@ -66,8 +66,9 @@ def documents(seed):
     return out
 
 
-def test_remove_repeats(spark):
-    for seed in (1, 2):
+def test_remove_repeats(spark, monkeypatch):
+    for seed, hot in ((1, 1000), (2, 4)):
+        monkeypatch.setattr(substrings, "HOT_RUNS", hot)
         rows = documents(seed)
         df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, key string, `from` int")
         got = sorted((tuple(x)[:4] for x in substrings.remove_repeats(df, shard_words=1500).collect()), key=str)
