@@ -15,6 +15,7 @@ documents it wants; a frame's crc32 is that of its uncompressed bytes.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -44,14 +45,20 @@ class ChunkEncoder:
 
     A chunk runs from white space to the next place where white space follows another
     character. Byte-level pieces have white space only at their head, so a piece begins at
-    each such place and the ids of a text are those of its chunks in turn.
+    each such place and the ids of a text are those of its chunks in turn. The library cuts a
+    text at the texts of added tokens first: each of these is a chunk of its own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        added = list(self.model.get_added_tokens_decoder().values())
+        if self.model.normalizer or any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"{path}: added tokens that take more than their own text, or a normalizer, are not supported")
+        # of those that begin at one place the longest, as in the library
+        longest = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, longest))) if added else None
         self.slot: dict[int, int] = {}
         self._reset()
         self.width = np.zeros(self.model.get_vocab_size(), np.int64)
@@ -87,6 +94,12 @@ class ChunkEncoder:
         letter[1:] |= latin
         dot = (data > 0x20) & (data < 0x7F) & ~letter & ((data < 0x30) | (data > 0x39))
         begins[1:] |= dot[1:] & letter[:-1]
+        if self.added and self.added.search(data):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                for m in self.added.finditer(data, a, b):
+                    begins[m.start() : m.end()] = False
+                    begins[m.start()] = True
+                    begins[m.end() : m.end() + 1] = True
         whole = offsets[:-1][np.diff(offsets) > 0]
         begins[whole] = True
         start = np.flatnonzero(begins)

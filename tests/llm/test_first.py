@@ -95,6 +95,26 @@ def test_chunks_match_the_library():
         assert e.ids == ids[a:b].tolist()
 
 
+def test_added_tokens_match_the_library(spark):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path, mark = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+    model, rnd = Tokenizer.from_file(path), random.Random(4)
+    texts = [mark, mark * 3, f"the {mark} end", f"a{mark}b", f"  {mark}  x", mark[:6], mark[6:], f"<{mark}>", f"é{mark}\n\n the", "", f"{mark} {mark}"]
+    parts = [mark, mark[:5], mark[5:], " ", "  ", "\n", "the", " and", "!", "é", "漢", "1", "'s", "<", "|>"]
+    texts += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    ids, at = token_files.ChunkEncoder(path).encode(pa.array(texts))
+    want = [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [model.token_to_id(mark)]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == want
+    df = spark.createDataFrame(list(enumerate(texts[:20])), "doc_id long, text string")
+    listed = token_files.write_token_files(df, fresh_path(spark, "tok"), path, 2, files=2)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(listed).collect()}
+    assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(want[:20])}
+
+
 def test_bpe(spark):
     import public_tokenizers
 
