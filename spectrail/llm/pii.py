@@ -86,23 +86,40 @@ def _valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
-def _placed(found: Column) -> Column:
-    """Adds start and end to matches given as (gap, value): a running sum, in chunks of ``CHUNK``."""
-    kind = "array<struct<start:int,end:int,value:string,before:string>>"
+def _placed(k: Kind, found: Column) -> Column:
+    """Adds start, end and context to matches given as (gap, its last characters, value): a running sum, in chunks of ``CHUNK``.
+
+    ``before`` is the text's last ``CONTEXT`` characters before the match, earlier matches included. ``listed``,
+    for kinds that need context, tells that a match has a word there or follows such a one within ``CONTEXT`` characters.
+    """
+    kind = "array<struct<start:int,end:int,value:string,before:string,listed:boolean>>"
+    state = "struct<at:int,tail:string,listed:boolean>"
+
+    def moved(acc: Column, z: Column) -> tuple[Column, Column, Column, Column]:
+        start = acc["at"] + z["skip"]
+        before = F.right(F.concat(acc["tail"], z["before"]), F.lit(CONTEXT))
+        listed = F.lower(before).rlike(k.words) | (acc["listed"] & (z["skip"] <= CONTEXT)) if k.score < k.least else F.lit(False)
+        return start, start + F.char_length(z["value"]), before, listed
+
+    def after(end: Column, before: Column, listed: Column, z: Column) -> list[Column]:
+        return [end.alias("at"), F.right(F.concat(before, z["value"]), F.lit(CONTEXT)).alias("tail"), listed.alias("listed")]
+
+    def skipped(acc: Column, z: Column) -> Column:
+        _, end, before, listed = moved(acc, z)
+        return F.struct(*after(end, before, listed, z)).cast(state)
 
     def inside(chunk: Column, offset: Column) -> Column:
         def step(acc: Column, z: Column) -> Column:
-            start = acc["at"] + z["skip"]
-            end = start + F.char_length(z["value"])
-            one = F.struct(start.alias("start"), end.alias("end"), z["value"].alias("value"), z["before"].alias("before"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+            start, end, before, listed = moved(acc, z)
+            one = F.struct(start.alias("start"), end.alias("end"), z["value"].alias("value"), before.alias("before"), listed.alias("listed"))
+            return F.struct(*after(end, before, listed, z), F.concat(acc["out"], F.array(one)).alias("out"))
 
-        return F.aggregate(chunk, F.struct(offset.alias("at"), F.array().cast(kind).alias("out")), step)["out"]
+        return F.aggregate(chunk, F.struct(offset["at"].alias("at"), offset["tail"].alias("tail"), offset["listed"].alias("listed"), F.array().cast(kind).alias("out")), step)["out"]
 
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda b: F.slice(found, b * CHUNK + 1, CHUNK))
-    length = lambda chunk: F.aggregate(chunk, F.lit(0), lambda a, z: a + z["skip"] + F.char_length(z["value"]))
-    offsets = F.aggregate(chunks, F.array(F.lit(0)), lambda a, c: F.concat(a, F.array(F.element_at(a, -1) + length(c))))
-    placed = F.flatten(F.zip_with(chunks, F.slice(offsets, 1, F.greatest(F.size(offsets) - 1, F.lit(0))), inside))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.lit(False).alias("listed")).cast(state)
+    offsets = F.aggregate(F.slice(chunks, 1, F.size(chunks) - 1), F.array(first), lambda a, c: F.concat(a, F.array(F.aggregate(c, F.element_at(a, -1), skipped))))
+    placed = F.flatten(F.zip_with(chunks, offsets, inside))
     return F.when(F.size(found) > 0, placed).otherwise(F.array().cast(kind))
 
 
@@ -110,7 +127,7 @@ def _scored(k: Kind, placed: Column) -> Column:
     """Valid spans of a kind with their scores."""
 
     def span(x: Column) -> Column:
-        score = F.when(F.lower(x["before"]).rlike(k.words), min(1.0, k.score + BONUS)).otherwise(k.score)
+        score = F.when(x["listed"] | F.lower(x["before"]).rlike(k.words), min(1.0, k.score + BONUS)).otherwise(k.score)
         return F.struct(F.lit(k.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score.alias("score"), F.lit(k.base).alias("base"))
 
     spans = F.transform(F.filter(placed, lambda x: _valid(k.name, x["value"])), span)
@@ -121,8 +138,9 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
     """Adds ``out``: array of (kind, start, end, score, base), by kind as listed, then start.
 
     A kind's pattern proposes spans (leftmost, not overlapping), Luhn, mod-97 or a range
-    check confirms them, and context words shortly before one raise its score. Base kinds
-    stay at any score; the others need their least score. Offsets are code points of the
+    check confirms them, and context words in the ``CONTEXT`` characters before one raise its
+    score. Base kinds stay at any score; the others need their least score; where that takes a
+    context word, a span that follows another within ``CONTEXT`` characters shares its context, as in lists and columns. Offsets are code points of the
     whole text, end exclusive. Null and empty texts have no spans; rows are neither dropped
     nor shuffled, other columns pass through. ``out`` must be a new name.
     """
@@ -139,7 +157,7 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
         m, s = F.col(f"{gap}_m_{k.name}"), F.col(f"{gap}_s_{k.name}")
         zipped[f"{gap}_z_{k.name}"] = F.zip_with(F.slice(s, 1, F.size(m)), m, lambda g, v: F.struct(F.char_length(g).alias("skip"), F.right(g, F.lit(CONTEXT)).alias("before"), v.alias("value")))
     df = df.withColumns(zipped)
-    df = df.withColumns({f"{gap}_p_{k.name}": _placed(F.col(f"{gap}_z_{k.name}")) for k in KINDS})
+    df = df.withColumns({f"{gap}_p_{k.name}": _placed(k, F.col(f"{gap}_z_{k.name}")) for k in KINDS})
     parts = [_scored(k, F.col(f"{gap}_p_{k.name}")) for k in KINDS]
     names = [f"{gap}_{x}_{k.name}" for x in "gmszp" for k in KINDS]
     return df.withColumn(out, F.concat(*parts)).drop(*names, f"{gap}_text")

@@ -181,6 +181,20 @@ def test_pii(spark):
             assert masked[i] == want + t[at:]
 
 
+def test_pii_in_lists(spark):
+    numbers = [f"{100 + i}-{10 + i % 80}-{1000 + i}" for i in range(600)]
+    texts = ["SSN: " + ", ".join(numbers), "name,ssn\n" + "\n".join(f"Ann {'é' * (i % 9)},{x}" for i, x in enumerate(numbers)), "parts " + ", ".join(numbers)]
+    texts += [f"ssn {numbers[0]}{'x' * 60} {numbers[1]}", f"{numbers[0]} ssn {numbers[1]}", f"number {numbers[0]} is a tax id, not {numbers[1]}", "mail a.b@c.de, d@e.f"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [x for x in r.pii] for r in pii.find_pii(df).collect()}
+    at = lambda i: [texts[i][x.start : x.end] for x in got[i] if x.kind == "national_id"]
+    assert at(0) == numbers and at(1) == numbers and at(2) == []
+    assert at(3) == numbers[:1] and at(4) == numbers[1:2] and at(5) == numbers[1:2]
+    assert [x.score for x in got[6]] == pytest.approx([1.0, 1.0])
+    masked = {r.doc_id: r.text for r in pii.mask_pii(df).collect()}
+    assert masked[0] == "SSN: " + ", ".join(["[NATIONAL_ID]"] * 600)
+
+
 def test_decontamination(spark):
     rnd = random.Random(7)
     words = [f"w{i}" for i in range(300)]
