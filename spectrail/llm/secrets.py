@@ -21,7 +21,7 @@ HEX = re.compile(r"[0-9a-f]+")
 BASE = ("assign", "access", "hex")
 RANDOM = "random"
 
-#: Tokens that the battery judges: runs of these characters with a digit, of this length at least.
+#: Tokens that the battery judges: runs of these characters, of this length at least.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 #: Encodings from narrow to wide; a token's is the first that holds all its characters.
@@ -32,6 +32,14 @@ ENCODINGS = (
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
     ("mixed", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
+#: Prose: shares of letters (of a hundred; English, German, French and Spanish together), and what follows a character of a class.
+LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (8.9, 1.4, 3.3, 4.4, 14.4, 1.5, 1.7, 3.0, 7.0, 0.4, 0.6, 4.5, 2.7, 7.5, 6.0, 2.2, 0.7, 6.6, 7.0, 6.9, 4.4, 1.1, 1.1, 0.3, 0.9, 0.6), strict=True))
+FOLLOW = {
+    "lower": {"lower": 0.91, "upper": 0.03, "digit": 0.03, "sign": 0.03}, "upper": {"lower": 0.15, "upper": 0.79, "digit": 0.03, "sign": 0.03},
+    "digit": {"lower": 0.05, "upper": 0.05, "digit": 0.85, "sign": 0.05}, "sign": {"lower": 0.45, "upper": 0.2, "digit": 0.2, "sign": 0.15},
+}
+#: Share of vowels after a vowel and after a consonant of the same case.
+VOWELS = {True: 0.15, False: 0.5}
 _CODES = [{c: i for i, c in enumerate(letters)} for _, letters in ENCODINGS]
 #: Tokens whose randomness is rejected below this p-value are never reported; the share of false discoveries allowed.
 REJECT, RATE = 0.01, 0.01
@@ -48,15 +56,50 @@ def chi_tail(x: float, df: int) -> float:
     return normal_tail(((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
 
 
+def _class(c: str) -> str:
+    return "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "sign"
+
+
+def _prose() -> np.ndarray:
+    """Log chance in prose of a character (second index) after another (first; 0 at the head)."""
+    signs, total = "+/_=-", sum(LETTERS.values()) + 0.3 * len(LETTERS)
+    share = {x: (v + 0.3) / total for x, v in LETTERS.items()}
+    vocal = sum(share[x] for x in "aeiou")
+    every = [c for x in LETTERS for c in (x, x.upper())] + list("0123456789" + signs)
+
+    def chance(a: str, b: str) -> float:
+        kind = _class(b)
+        first = FOLLOW[_class(a)][kind] if a else 0.25
+        if kind in ("digit", "sign"):
+            return first / (10 if kind == "digit" else len(signs))
+        x = b.lower()
+        if not a or _class(a) != kind:
+            return first * share[x]
+        v = VOWELS[a.lower() in "aeiou"]
+        return first * (v * share[x] / vocal if x in "aeiou" else (1 - v) * share[x] / (1 - vocal))
+
+    out = np.zeros((128, 128))
+    for b in every:
+        out[0, ord(b)] = math.log(chance("", b))
+        for a in every:
+            out[ord(a), ord(b)] = math.log(chance(a, b))
+    return out
+
+
+_PROSE = _prose()
+
+
 def battery(token: str) -> tuple[str, float, float] | None:
     """(encoding, p of randomness, p of prose) of a token.
 
     Under randomness characters are independent and uniform over the inferred encoding's
     alphabet. Three tests: chi-squared over groups of the alphabet, Wald-Wolfowitz runs about
     the middle code, and serial correlation of neighbours; their p-values are combined with
-    weight on the least (three times the least, one at most). The p of prose is the chance that a
-    token of letters, each as likely to be followed by a digit or a change of case as in words,
-    shows as many class changes as this one: it falls with length, so short tokens need more.
+    weight on the least (three times the least, one at most). They reject randomness, so they
+    can't be the p-values of a discovery. That is the p of prose, from the same three traits under
+    a null of prose in the inferred encoding: shares of characters, runs of a class, and vowels
+    among neighbours. It is one over the likelihood ratio of randomness to prose: prose has a
+    ratio of x or more with a chance of 1 / x at most, whatever the length and alphabet.
     """
     body = token.rstrip("=")
     found = next(((name, code) for (name, _), code in zip(ENCODINGS, _CODES, strict=True) if all(c in code for c in body)), None)
@@ -81,17 +124,9 @@ def battery(token: str) -> tuple[str, float, float] | None:
         p_runs = 2.0 ** (1 - n)
     c = x - (size - 1) / 2
     p_serial = 2 * normal_tail(abs(float((c[1:] * c[:-1]).sum())) / ((size * size - 1) / 12 * math.sqrt(n - 1)))
-    kind = np.array([0 if ch.islower() else 1 if ch.isupper() else 2 for ch in body])
-    changes = int((kind[1:] != kind[:-1]).sum())
-    # prose, names and paths change class once in twelve characters at most: upper tail of that binomial
-    q, m = 1 / 12, n - 1
-    mean = m * q
-    p_prose = 1.0 if changes <= mean else math.exp(-m * _divergence(changes / m, q))
-    return name, min(1.0, 3 * min(p_uniform, p_runs, p_serial)), p_prose
-
-
-def _divergence(a: float, q: float) -> float:
-    return (a * math.log(a / q) if a else 0.0) + ((1 - a) * math.log((1 - a) / (1 - q)) if a < 1 else 0.0)
+    at = np.frombuffer(body.encode(), np.uint8)
+    ratio = -n * math.log(size) - float(_PROSE[np.append(0, at[:-1]), at].sum())
+    return name, min(1.0, 3 * min(p_uniform, p_runs, p_serial)), math.exp(-max(0.0, ratio))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -109,9 +144,13 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, in
     spans = base_spans(text)
     tokens = []
     for m in TOKEN.finditer(text):
-        found = battery(m[0]) if any(c.isdigit() for c in m[0]) else None
-        if found and found[1] >= REJECT and not any(a < m.end() and m.start() < b for a, b, _ in spans):
-            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), found[2]))
+        if any(a < m.end() and m.start() < b for a, b, _ in spans):
+            continue
+        found = battery(m[0])
+        if found:
+            # what the battery rejects is tested too, and never reported
+            p = found[2] if found[1] >= REJECT else 1.0
+            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), p))
     return spans, tokens
 
 

@@ -54,6 +54,28 @@ def test_random_tokens(spark):
     assert not any(got[i] for i in range(50, 50 + len(plain)))
 
 
+def test_random_tokens_of_narrow_encodings(spark):
+    """Base32 and hex tokens of 20 to 32 characters, with and without digits, among twice as many other tokens."""
+    r = random.Random(12)
+    alphabets = {"base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "HEX": "0123456789ABCDEF", "base62": string.ascii_letters + string.digits}
+    data = [(name, n, f"see {''.join(r.choice(letters) for _ in range(n))} here") for name, letters in alphabets.items() for n in (20, 24, 26, 32) for _ in range(250)]
+    data += [("hex", 20, f"see {''.join(r.choice('0123456789abcdef') for _ in range(20))} here") for _ in range(250)]
+    data += [("letters", 32, f"see {''.join(r.choice(string.ascii_letters) for _ in range(32))} here") for _ in range(250)]
+    words = "the report final version with comments path some long file name user account server update international customer data value street order number Haus Straße ungen leche ville maison".replace("ß", "ss").split()
+    styles = [lambda w: "_".join(w), lambda w: "".join(x.title() for x in w), lambda w: "/".join(w), lambda w: "_".join(w).upper(), lambda w: "".join(w), lambda w: "-".join(w) + "-2024-01-15", lambda w: "".join(w) + "20240115093000"]
+    data += [("prose", 0, f"see {r.choice(styles)([r.choice(words) for _ in range(r.randint(5, 8))])} here") for _ in range(6000)]
+    data += [("digits", 0, f"see {''.join(r.choice('0123456789') for _ in range(r.randint(20, 40)))} here") for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(data)], "doc_id long, text string").repartition(8)
+    got = {x.doc_id: x.random for x in secrets.find_secrets(df).collect()}
+    share = {}
+    for i, (name, n, _) in enumerate(data):
+        share.setdefault((name, n), []).append(bool(got[i]))
+    share = {k: sum(v) / len(v) for k, v in share.items()}
+    assert all(v >= 0.9 for (name, n), v in share.items() if n >= 24 or name != "base32" and n), share
+    assert share["base32", 20] >= 0.8, share
+    assert share["prose", 0] <= 0.001 and share["digits", 0] <= 0.001, share
+
+
 def test_battery():
     assert secrets.battery("aaaaaaaaaaaaaaaaaaaaaaaa")[1] < 0.01
     assert secrets.battery("0123456789abcdef" * 3)[1] < 0.01
