@@ -121,8 +121,10 @@ def training_sample(labelled: DataFrame, per_language: int, id_col: str, text_co
     before the exact cut, so no task meets all rows of a language.
     """
     place = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    counts = labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).select(F.col(lang_col).alias("__l"), F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.col("n") + F.lit(30.0) / F.col("n")).alias("share"))
-    near = labelled.withColumn("__place", place).join(F.broadcast(counts.limit(100_000)), F.col(lang_col) == F.col("__l")).where("__place <= share")
+    labelled = labelled.where(F.col(lang_col).isNotNull())
+    large = labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 3 * per_language + 30)
+    large = large.select(F.col(lang_col).alias("__l"), (F.lit(3.0 * per_language + 30.0) / F.col("n")).alias("share"))
+    near = labelled.withColumn("__place", place).join(F.broadcast(large), F.col(lang_col) == F.col("__l"), "left").where("share is null or __place <= share")
     cut = F.row_number().over(Window.partitionBy(lang_col).orderBy("__place", id_col))
     return near.withColumn("__r", cut).where(F.col("__r") <= per_language).select(F.col(lang_col).alias("lang"), F.col("__place").alias("place"), F.col(text_col).alias("text"))
 

@@ -108,6 +108,13 @@ def test_language(spark):
     assert {x.lang_pred for x in language.identify(fixtures.frame(spark).select("doc_id", "text"), None).collect()} == {"und"}
 
 
+def test_every_language_is_sampled(spark):
+    n = 100_050
+    df = spark.range(n + 5000).selectExpr("id AS doc_id", "'word' AS text", f"CASE WHEN id < {n} THEN concat('l', id) ELSE 'large' END AS lang")
+    got = language.training_sample(df, 300, "doc_id", "text", "lang", "s").groupBy("lang").count().groupBy("count").count().collect()
+    assert {r[0]: r[1] for r in got} == {1: n, 300: 1}
+
+
 def test_held_out(spark):
     ids = [0, 1, 5, 17, None]
     got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").select(language.held_out()).collect()]
