@@ -7,6 +7,7 @@ longest single document, never the batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,11 @@ import pyarrow as pa
 #: Bytes of text worked on at a time.
 SLICE_BYTES = 1 << 20
 
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 1
-_WORD_BASE = 0xD6E8FEB86659FD93 | 1
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes of a span that are hashed in blocks of eight; longer spans by a digest.
+BLOCKWISE = 64
+
+_SEED, _LEFT, _RIGHT = np.uint64(0x5851F42D4C957F2D), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 #: The six bytes that separate words: space and 0x09 to 0x0D.
 IS_SPACE = np.zeros(256, bool)
@@ -26,22 +29,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n at least."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        pair = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            out = np.full(size, b, np.uint64)
-            out[0] = 1
-            pair.append(np.cumprod(out, dtype=np.uint64))
-        have = _powers[base] = (pair[0], pair[1])
-        if size > 8 * SLICE_BYTES:  # one huge text: don't keep its tables
-            del _powers[base]
-    return have
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser that spreads every input bit over all 64."""
     h = h ^ (h >> np.uint64(33))
@@ -108,21 +95,85 @@ class Words:
     def count(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all words with one space after each, start and end of each word there)."""
+        length = self.end - self.start
+        end = np.cumsum(length + 1) - 1
+        inside = np.ones(int(end[-1]) + 1 if len(end) else 0, bool)
+        inside[end] = False
+        out = np.full(len(inside), 0x20, np.uint8)
+        out[inside] = self.data[~IS_SPACE[self.data]]
+        return out, end - length, end
+
 
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range: equal bytes, equal hash, wherever they stand."""
-    up, down = powers(_BYTE_BASE, len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    """64-bit hash of each byte range: equal bytes, equal hash, wherever they stand.
+
+    Blocks of eight bytes are chained through the finaliser, which is not linear, so no
+    pattern of blocks cancels out; spans of over ``BLOCKWISE`` bytes are hashed by a digest.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    length = end - start
+    h = mix(blocks[start] & _MASKS[np.minimum(length, 8)] ^ _SEED * (length.astype(np.uint64) * np.uint64(2) + np.uint64(1)))
+    live, done = np.flatnonzero(length > 8), 8
+    while len(live) and done < BLOCKWISE:
+        block = blocks[start[live] + done] & _MASKS[np.minimum(length[live] - done, 8)]
+        h[live] = mix(h[live] * _LEFT ^ block)
+        done += 8
+        live = live[length[live] > done]
+    for i in live.tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return h
+
+
+def same_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Whether each byte range of ``data`` equals the one of ``other`` beside it."""
+    length = end - start
+    same = length == stop - begin
+    padded, against = (np.concatenate([x, np.zeros(8, np.uint8)]) for x in (data, other))
+    a, b = (np.ndarray(len(x) - 7, "<u8", x, strides=(1,)) for x in (padded, against))
+    live, done = np.flatnonzero(same & (length > 0)), 0
+    while len(live) and done < BLOCKWISE:
+        differ = (a[start[live] + done] ^ b[begin[live] + done]) & _MASKS[np.minimum(length[live] - done, 8)] != 0
+        same[live[differ]] = False
+        done += 8
+        live = live[~differ & (length[live] > done)]
+    for i in live.tolist():
+        same[i] = data[start[i] + done : end[i]].tobytes() == other[begin[i] + done : stop[i]].tobytes()
+    return same
 
 
 def gram_hash(words: np.ndarray, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-    """Hash of ``length`` consecutive word hashes from each position in ``at``."""
-    up, down = powers(_WORD_BASE, len(words) + 1)
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[: len(words)], out=total[1:])
-    return mix((total[at + length] - total[at]) * down[at] + np.uint64(1))
+    """Hash of ``length`` consecutive word hashes from each position in ``at``, by halves of powers of two."""
+    length = np.broadcast_to(np.asarray(length, np.int64), at.shape)
+    h, place = mix(length.astype(np.uint64) + _SEED), at.astype(np.int64)
+    level, width, most = words, 1, int(length.max(initial=0))
+    while width <= most:
+        part = np.flatnonzero(length & width)
+        h[part] = mix(h[part] * _LEFT + level[place[part]] * _RIGHT)
+        if len(part) < len(place):
+            place = place.copy()
+            place[part] += width
+        else:
+            place = place + width
+        if 2 * width <= most:
+            level = mix(level[:-width] * _LEFT + level[width:] * _RIGHT)
+        width *= 2
+    return h
+
+
+def digest(raw: bytes | memoryview) -> bytes:
+    """16 bytes that stand for a byte string: a cryptographic digest, so equal ones mean equal strings."""
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests as two columns of longs."""
+    pairs = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spectrail.llm._shared import fresh_path, table
-from spectrail.llm._text import slices, span_hash, text_bytes
+from spectrail.llm._text import ranges, same_spans, slices, span_hash, text_bytes
 
 MAGIC = b"STKSEEK1"
 FRAME_IDS = 1 << 16
@@ -38,6 +38,8 @@ FRAME = np.dtype([("offset", "<u8"), ("size", "<u4"), ("ids", "<u8"), ("document
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("ids", "<u8")])
 #: Distinct chunks of text whose ids a worker remembers before it starts afresh.
 MEMORY = 1_000_000
+#: Bytes of text in a file, about; small tables have files enough for all cores.
+FILE_BYTES = 256 << 20
 
 
 class ChunkEncoder:
@@ -46,7 +48,8 @@ class ChunkEncoder:
     A chunk runs from white space to the next place where white space follows another
     character. Byte-level pieces have white space only at their head, so a piece begins at
     each such place and the ids of a text are those of its chunks in turn. The library cuts a
-    text at the texts of added tokens first: each of these is a chunk of its own.
+    text at the texts of added tokens first: each of these is a chunk of its own. Chunks are
+    found in the memory by a hash and then compared byte by byte.
     """
 
     def __init__(self, path: str):
@@ -69,6 +72,7 @@ class ChunkEncoder:
         self.slot.clear()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.count, self.slots = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+        self.raw, self.raw_used, self.raw_begin, self.raw_end = np.zeros(1 << 16, np.uint8), 0, np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of len + 1)."""
@@ -112,6 +116,12 @@ class ChunkEncoder:
         if len(new):
             slots[new] = self._learn(data, start[first[new]], end[first[new]], keys[new], white)
         slots = slots[inverse]
+        bad = np.flatnonzero(~same_spans(data, start, end, self.raw, self.raw_begin[slots], self.raw_end[slots]))
+        if len(bad):  # other chunks of the same hash
+            own: dict[bytes, int] = {}
+            of = np.array([own.setdefault(data[a:b].tobytes(), len(own)) for a, b in zip(start[bad].tolist(), end[bad].tolist(), strict=True)])
+            one = bad[np.unique(of, return_index=True)[1]]
+            slots[bad] = self._learn(data, start[one], end[one], hashes[one], white)[of]
         count, begin = self.count[slots], self.begin[slots]
         total = np.cumsum(count)
         ids = self.ids[np.repeat(begin - (total - count), count) + np.arange(total[-1])]
@@ -138,11 +148,18 @@ class ChunkEncoder:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.slots + len(count) > len(self.begin):
-            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
+            self.begin, self.count, self.raw_begin, self.raw_end = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count, self.raw_begin, self.raw_end))
+        length = end - start
+        while self.raw_used + int(length.sum()) > len(self.raw):
+            self.raw = np.concatenate([self.raw, np.zeros_like(self.raw)])
         self.ids[self.used : self.used + len(flat)] = flat
         slots = np.arange(self.slots, self.slots + len(count))
         self.begin[slots] = self.used + np.cumsum(count) - count
         self.count[slots] = count
+        self.raw_end[slots] = self.raw_used + np.cumsum(length)
+        self.raw_begin[slots] = self.raw_end[slots] - length
+        self.raw[self.raw_used : self.raw_used + int(length.sum())] = data[ranges(start, length)[1]]
+        self.raw_used += int(length.sum())
         self.used += len(flat)
         self.slots += len(count)
         self.slot.update(zip(keys.tolist(), slots.tolist(), strict=True))
@@ -264,14 +281,17 @@ class FrameReader:
 def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", files: int | None = None, frame_ids: int = FRAME_IDS) -> DataFrame:
     """Encode every whole text, append ``end_id``, write files in ascending id order; the files' list.
 
-    Rows are dealt by ranges of the id and sorted in each, so a file is one range; a task
+    Rows are dealt by ranges of the id (rows of equal ids by the heads of their texts too, so that an id that many
+    rows share is spread) and sorted in each, so a file is one range of about ``FILE_BYTES`` of text; a task
     streams through it and holds one slice of texts and one frame. A task that is run again
     writes the same file again. The list has one row a file: file, documents, ids, least_id.
     Null texts are empty (the end id alone); a null id counts as the smallest and is written
     as -2**63; rows with equal ids follow each other by text. Empty tables write no file.
     """
     spark = df.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = df.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+        files = max(-(-size // FILE_BYTES), 2 * spark.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -295,7 +315,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, id_
             yield pa.RecordBatch.from_pydict({"file": [name], "documents": [documents], "ids": [n_ids], "least_id": [least]})
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.col(text_col).alias("__text"))
-    dealt = rows.repartitionByRange(files, "__id").sortWithinPartitions("__id", "__text")
+    dealt = rows.repartitionByRange(files, "__id", F.substring("__text", 1, 32)).sortWithinPartitions("__id", "__text")
     done = dealt.mapInArrow(run, "file string, documents long, ids long, least_id long").collect()  # one row a file
     return spark.createDataFrame(done, "file string, documents long, ids long, least_id long")
 
@@ -304,7 +324,7 @@ def read_token_files(listed: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32.
 
     ``listed`` has a row a file; its running sum of ids is over those few rows. Every frame
-    is decompressed once and its checksum verified.
+    is decompressed once and its checksum verified. An id of -2**63 comes back as null.
     """
     order = Window.orderBy("least_id", "file").rowsBetween(Window.unboundedPreceding, -1)
     spark = listed.sparkSession
@@ -321,7 +341,7 @@ def read_token_files(listed: DataFrame) -> DataFrame:
                     raw = reader.frame(i).astype("<u4")
                     at = reader.offsets[first : last + 1] - reader.offsets[first]
                     yield pa.RecordBatch.from_pydict({
-                        "doc_id": reader.documents["doc_id"][first:last],
+                        "doc_id": pa.array(reader.documents["doc_id"][first:last], mask=reader.documents["doc_id"][first:last] == -(2**63)),
                         "start": base + reader.offsets[first:last],
                         "n_tokens": np.diff(at),
                         "ids_crc32": np.array([zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:], strict=False)], np.int64),

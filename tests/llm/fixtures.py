@@ -24,3 +24,10 @@ def frame(spark, data=None):
 def save(spark, path, data=None, name="documents"):
     frame(spark, data).write.mode("overwrite").parquet(f"{path}/{name}.parquet")
     return str(path)
+
+
+def thue_morse(n=2048):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
