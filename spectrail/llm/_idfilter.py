@@ -12,24 +12,28 @@ from pyspark.sql import functions as F
 
 from spectrail.llm._text import mix
 
-#: Bits of the bitmap: 16 for each id, within these bounds (8 KB and 8 MB). Beyond, more rows pass, none is missed.
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
-CHUNK_BITS = 1 << 18
+#: Least bits of a bitmap (8 KB); bits of a chunk. A bitmap has 16 bits or more for each id.
+LEAST_BITS, CHUNK_BITS = 1 << 16, 1 << 18
+#: Ids up to which a bitmap is made and broadcast (8 MB at most). Beyond, callers join by shuffle instead.
+MOST_IDS = 1 << 22
 
 
 class IdFilter:
-    """Tells of an id that it surely isn't, or may be, among ``ids[column]``."""
+    """Tells of an id that it surely isn't, or may be, among the distinct ``ids[column]``; ``bitmap`` is None if they are too many."""
 
-    def __init__(self, ids: DataFrame, column: str, n: int | None = None):
-        n = ids.count() if n is None else n
+    def __init__(self, ids: DataFrame, column: str, most: int = MOST_IDS):
+        n = ids.count()
+        self.bitmap = None
+        if n > most:
+            return
         bits = LEAST_BITS
-        while bits < min(MOST_BITS, 16 * n):
+        while bits < 16 * n:
             bits *= 2
         chunk_bits = min(bits, CHUNK_BITS)
 
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at = np.unique(_cell(batch.column(0).drop_null().to_numpy(), bits))
+                at = _cell(batch.column(0).drop_null().to_numpy(), bits)
                 yield pa.RecordBatch.from_arrays([pa.array((at // chunk_bits).astype(np.int32)), pa.array((at % chunk_bits).astype(np.int32))], ["chunk", "bit"])
 
         def packed(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -40,13 +44,15 @@ class IdFilter:
         # a chunk has at most CHUNK_BITS distinct rows, however many ids there are
         distinct = ids.select(F.col(column).cast("long")).mapInArrow(cells, "chunk int, bit int").distinct()
         bitmap = np.zeros(bits >> 3, np.uint8)
-        for r in distinct.groupBy("chunk").applyInPandas(packed, "chunk int, bits binary").collect():  # at most MOST_BITS bits
+        for r in distinct.groupBy("chunk").applyInPandas(packed, "chunk int, bits binary").collect():  # at most 32 bits for each of MOST_IDS
             part = np.frombuffer(r["bits"], np.uint8)
             bitmap[r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
         self.bitmap = ids.sparkSession.sparkContext.broadcast(bitmap)
 
     def rows(self, df: DataFrame, column: str, maybe: bool) -> DataFrame:
-        """Rows of ``df`` whose id may be among the ids, or the others (null ids are among these)."""
+        """Rows of ``df`` whose id may be among the ids, or the others (null ids are among these). Without a bitmap all may be."""
+        if self.bitmap is None:
+            return df if maybe else df.limit(0)
         bitmap = self.bitmap
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +73,8 @@ def _cell(ids: np.ndarray, bits: int) -> np.ndarray:
     return (mix(ids.astype(np.int64, copy=False).view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """``df`` anti-joined with ``ids``: only rows that the bitmap can't clear are shuffled."""
-    known = IdFilter(ids, column)
-    return known.rows(df, column, False).unionByName(known.rows(df, column, True).join(ids, column, "left_anti").select(df.columns))
+def without(df: DataFrame, ids: DataFrame, column: str, most: int = MOST_IDS) -> DataFrame:
+    """``df`` without the rows of the distinct ``ids``: only rows that the bitmap can't clear are shuffled. Null ids stay."""
+    known = IdFilter(ids, column, most)
+    rest = known.rows(df, column, True).join(ids, column, "left_anti").select(df.columns)
+    return known.rows(df, column, False).unionByName(rest)

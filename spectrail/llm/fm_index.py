@@ -1,4 +1,4 @@
-"""An FM-index over integer sequences: wavelet matrix in packed bits, searched for many patterns at once."""
+"""A compressed FM-index over integer sequences: wavelet matrices in packed bits, searched for many patterns at once."""
 
 from __future__ import annotations
 
@@ -23,58 +23,84 @@ class Bits:
         return self.before[word] + np.bitwise_count(self.words[word] & low)
 
 
+class WaveletMatrix:
+    """A sequence of numbers below 2**levels, a bit vector for each level."""
+
+    def __init__(self, values: np.ndarray, levels: int):
+        self.bits, self.zeros, self.shifts = [], [], range(levels - 1, -1, -1)
+        for shift in self.shifts:
+            one = (values >> shift & 1).astype(np.uint8)
+            self.bits.append(Bits(one))
+            self.zeros.append(len(one) - int(one.sum()))
+            values = np.concatenate([values[one == 0], values[one == 1]])
+
+    def walk(self, value: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Where the position is sent on the way of ``value``: differences count occurrences."""
+        for shift, bits, zeros in zip(self.shifts, self.bits, self.zeros, strict=True):
+            ones = bits.rank(i)
+            i = np.where(value >> shift & 1, zeros + ones, i - ones)
+        return i
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest number in each range low .. high, none of them empty."""
+        out = np.zeros(len(low), np.int64)
+        for shift, bits, zeros in zip(self.shifts, self.bits, self.zeros, strict=True):
+            a, b = bits.rank(low), bits.rank(high)
+            right = (high - b) == (low - a)  # no zero in the range
+            low, high = np.where(right, zeros + a, low - a), np.where(right, zeros + b, high - b)
+            out |= right.astype(np.int64) << shift
+        return out
+
+
 class FMIndex:
-    """Index of a sequence of symbols in 0 .. sigma - 1 for patterns of at most ``depth`` symbols.
+    """Index of documents, sequences of symbols 1 .. sigma, for patterns of at most ``depth`` symbols.
 
-    Suffixes are sorted by their first ``depth`` symbols or more (prefix doubling), which is all
-    that such patterns tell apart. ``suffixes`` has their starts in order. Only the Burrows-Wheeler
-    transform, as a wavelet matrix, and the symbols' counts are searched.
+    ``text`` has a 0 after each document. Suffixes are sorted by their first ``depth`` symbols or
+    more (prefix doubling), which is all that such patterns tell apart. What stays is the
+    Burrows-Wheeler transform and the document of each row, both as wavelet matrices, and the
+    symbols' counts; no suffix array.
     """
 
-    def __init__(self, text: np.ndarray, sigma: int, depth: int):
+    def __init__(self, text: np.ndarray, document: np.ndarray, depth: int):
         # symbol 0 is the end of the text; the empty suffix, which starts there, has a row too
-        text, sigma = np.append(text.astype(np.int64) + 1, 0), sigma + 1
-        n = len(text)
+        text = np.append(text.astype(np.int64) + 1, 0)
+        n, sigma = len(text), int(text.max()) + 1
         rank, known = text + 1, 1
         while known < depth:
             follow = np.zeros(n, np.int64)
             follow[: max(0, n - known)] = rank[known:]
             rank = np.unique(rank * (int(rank.max(initial=0)) + 1) + follow, return_inverse=True)[1] + 1
             known *= 2
-        self.n, self.suffixes = n, np.argsort(rank, kind="stable")
+        suffixes = np.argsort(rank, kind="stable")
+        self.n, self.sigma = n, sigma
         # the row of the suffix that starts at 0 has no symbol before it: one that no pattern holds
-        last = np.where(self.suffixes > 0, text[self.suffixes - 1], sigma).astype(np.int64)
+        last = np.where(suffixes > 0, text[suffixes - 1], sigma)
         self.count = np.append(0, np.cumsum(np.bincount(text, minlength=sigma)))
-        self.levels = max(1, int(sigma).bit_length())
-        self.bits, self.zeros = [], []
-        for level in range(self.levels - 1, -1, -1):
-            one = (last >> level & 1).astype(np.uint8)
-            self.bits.append(Bits(one))
-            self.zeros.append(int(n - one.sum()))
-            last = np.concatenate([last[one == 0], last[one == 1]])
-        self.first = self._walk(np.arange(sigma + 1), np.zeros(sigma + 1, np.int64))
-
-    def _walk(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
-        for level, bits, zeros in zip(range(self.levels - 1, -1, -1), self.bits, self.zeros, strict=True):
-            ones = bits.rank(i)
-            i = np.where(symbol >> level & 1, zeros + ones, i - ones)
-        return i
+        self.transform = WaveletMatrix(last, max(1, int(sigma).bit_length()))
+        documents = np.append(document, 0)[suffixes]
+        self.documents = WaveletMatrix(documents, max(1, int(documents.max(initial=0)).bit_length()))
+        self.first = self.transform.walk(np.arange(sigma + 1), np.zeros(sigma + 1, np.int64))
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of the patterns with ``symbol`` (counted from 1) put before them."""
-        both = self._walk(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        """Intervals of the patterns with ``symbol`` put before them."""
+        symbol = symbol + 1
+        both = self.transform.walk(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
         base = self.count[symbol] - self.first[symbol]
         return base + both[: len(symbol)], base + both[len(symbol) :]
 
-    def repeated(self, text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(which, low, high) of the windows ``text[start:start + length]`` that occur more than once.
+    def statistics(self, stream: np.ndarray, ends: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a stream of symbols, held at ``threshold``, at each position in ``ends``.
 
-        A window leaves as soon as its matching statistic shows that it can't: one occurrence is itself.
+        The statistic is the length of the longest piece that ends just before the position and that the
+        index holds twice at least (once is the streamed document itself), found by backward search, a symbol
+        more in each step. Also the interval of rows of each piece that reaches the threshold.
         """
-        which = np.arange(len(starts))
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
-        for step in range(length - 1, -1, -1):
-            low, high = self.extend(text[starts[which] + step].astype(np.int64) + 1, low, high)
-            alive = high - low > 1
-            which, low, high = which[alive], low[alive], high[alive]
-        return which, low, high
+        reached = np.zeros(len(ends), np.int64)
+        live = np.arange(len(ends))
+        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64)
+        for step in range(1, threshold + 1):
+            low, high = self.extend(stream[ends[live] - step], low, high)
+            more = high - low > 1
+            live, low, high = live[more], low[more], high[more]
+            reached[live] = step
+        return reached, low, high
