@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session, or the checkpoint folder that its context has.
 
-    Only where the cluster names none (tests on one machine) a fresh temporary
-    folder is set as the checkpoint folder and returned.
+    Where neither is set, a session on one machine (tests) gets a fresh temporary folder as its
+    checkpoint folder; on a cluster executors wouldn't share it, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if not known:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spectrail-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
@@ -41,3 +44,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free_prefix(*names: str) -> str:
+    """Underscores that no name begins with: for columns that clash with none of these."""
+    prefix = "__"
+    while any(n.startswith(prefix) for n in names):
+        prefix += "_"
+    return prefix

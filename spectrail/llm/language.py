@@ -11,13 +11,15 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spectrail.llm._shared import table
+from spectrail.llm._shared import table, written
 from spectrail.llm._text import slices, text_bytes
 
 #: Dimensions that byte n-grams are hashed to; n-gram lengths; centroids of a language.
 DIMENSIONS, GRAMS, CENTROIDS = 8192, (2, 3, 4), 4
-#: The bound of the training sample: documents of a language, and their bytes held by the model's fit.
-SAMPLE = 300
+#: The bounds of the training sample: documents of a language; languages, beyond which learning fails loudly.
+SAMPLE, LANGUAGES = 300, 128
+#: Languages whose sizes are broadcast to thin out the sample; more are joined by shuffle.
+BROADCAST_LANGUAGES = 10_000
 #: A document is rejected below this share of the least similarity that training documents of its size have.
 REJECT = 0.5
 UNKNOWN = "und"
@@ -87,25 +89,34 @@ def size_class(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(counts.sum(axis=1) + 1).astype(int), 15)
 
 
-def fit(counts: np.ndarray, languages: list[str], centroids: int = CENTROIDS) -> Model:
-    """Spherical k-means in each language on TF-IDF vectors; ties and starts are fixed by the order of rows."""
-    names = sorted(set(languages))
-    weight = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    model = Model(weight, np.zeros((0, counts.shape[1]), np.float32), [], np.zeros(16))
-    vectors, of = model.vectors(counts), np.array(languages)
-    own, found = np.full(len(counts), 0.0), []
-    for name in names:
-        v = vectors[of == name]
+def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], centroids: int = CENTROIDS) -> Model:
+    """Spherical k-means in each language on TF-IDF vectors; ties and starts are fixed by the order of rows.
+
+    Samples are (language, cells, counts), sorted by language; one language at a time is laid out in full.
+    """
+    names, begin = np.unique([x[0] for x in samples], return_index=True)
+    in_documents = np.zeros(DIMENSIONS)
+    for _, cells, _ in samples:
+        in_documents[cells] += 1
+    weight = (np.log((1 + len(samples)) / (1 + in_documents)) + 1).astype(np.float32)
+    model = Model(weight, np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(16))
+    own, sizes, found = [], [], []
+    for name, lo, hi in zip(names.tolist(), begin, [*begin[1:], len(samples)], strict=True):
+        counts = np.zeros((hi - lo, DIMENSIONS), np.float32)
+        for x, (_, cells, values) in enumerate(samples[lo:hi]):
+            counts[x, cells] = values
+        v = model.vectors(counts)
         centre = v[np.linspace(0, len(v) - 1, min(centroids, len(v))).astype(int)]
         for _ in range(12):
             best = (v @ centre.T).argmax(axis=1)
             centre = np.stack([v[best == c].sum(axis=0) if (best == c).any() else centre[c] for c in range(len(centre))])
             centre = centre / np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-12)
-        own[of == name] = (v @ centre.T).max(axis=1)
+        own.append((v @ centre.T).max(axis=1))
+        sizes.append(size_class(counts))
         found.append(centre)
         model.language += [name] * len(centre)
     model.centroids = np.concatenate([model.centroids, *found]).astype(np.float32)
-    size = size_class(counts)
+    own, size = np.concatenate(own), np.concatenate(sizes)
     least = np.array([np.quantile(own[size == c], 0.01) if (size == c).sum() >= 20 else np.nan for c in range(16)])
     for c in range(15, -1, -1):  # shorter texts lie farther off: an unseen class takes half its longer neighbour's
         if np.isnan(least[c]):
@@ -115,25 +126,28 @@ def fit(counts: np.ndarray, languages: list[str], centroids: int = CENTROIDS) ->
 
 
 def training_sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str, seed: str) -> DataFrame:
-    """At most ``per_language`` documents of each language, chosen by a seeded hash of the id.
+    """(lang, place, text) of at most ``per_language`` documents of each language, chosen by a seeded hash of the id.
 
     Counting reads two narrow columns. A threshold on the hash leaves a few times the bound
-    before the exact cut, so no task meets all rows of a language.
+    before the exact cut, so no task meets all rows of a language; rows that share an id, which the hash
+    doesn't tell apart, are told apart by their texts.
     """
-    place = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    labelled = labelled.where(F.col(lang_col).isNotNull())
-    large = labelled.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 3 * per_language + 30)
-    large = large.select(F.col(lang_col).alias("__l"), (F.lit(3.0 * per_language + 30.0) / F.col("n")).alias("share"))
-    near = labelled.withColumn("__place", place).join(F.broadcast(large), F.col(lang_col) == F.col("__l"), "left").where("share is null or __place <= share")
-    cut = F.row_number().over(Window.partitionBy(lang_col).orderBy("__place", id_col))
-    return near.withColumn("__r", cut).where(F.col("__r") <= per_language).select(F.col(lang_col).alias("lang"), F.col("__place").alias("place"), F.col(text_col).alias("text"))
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("lang is not null")
+    place = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 3 * per_language + 30)
+    large = written(counts.select(F.col("lang").alias("of"), (F.lit(3.0 * per_language + 30.0) / F.col("n")).alias("share")), "languages")
+    small = large.count() <= BROADCAST_LANGUAGES
+    near = rows.withColumn("place", place).join(F.broadcast(large) if small else large, F.col("lang") == F.col("of"), "left").where("share is null or place <= share")
+    cut = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", "text"))
+    return near.withColumn("r", cut).where(F.col("r") <= per_language).select("lang", "place", "text")
 
 
 def learn(labelled: DataFrame, per_language: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: str = "language-1") -> Model | None:
     """A model from a bounded sample of rows with a language and a letter; None without any.
 
     N-grams are counted on the executors; the driver gets at most ``per_language`` sparse
-    count vectors for each language, whatever the table's size.
+    count vectors for each of at most ``LANGUAGES`` languages, whatever the table's size; more languages
+    are an error. Other columns, whatever their names, are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,23 +159,23 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), pa.array([x.tobytes() for x in cells], pa.binary()), pa.array(values, pa.binary())], ["lang", "place", "cells", "counts"])
 
     labelled = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    rows = training_sample(labelled, per_language, id_col, text_col, lang_col, seed).mapInArrow(run, "lang string, place double, cells binary, counts binary")
-    rows = sorted(rows.collect(), key=lambda r: (r["lang"], r["place"], bytes(r["cells"]), bytes(r["counts"])))
+    sampled = training_sample(labelled, per_language, id_col, text_col, lang_col, seed).mapInArrow(run, "lang string, place double, cells binary, counts binary")
+    sampled = written(sampled, "sample")
+    if (n := sampled.select("lang").distinct().count()) > LANGUAGES:
+        raise ValueError(f"{n} languages; at most {LANGUAGES} can be learned")
+    rows = sorted(sampled.collect(), key=lambda r: (r["lang"], r["place"], bytes(r["cells"]), bytes(r["counts"])))  # bounded by both parameters
     if not rows:
         return None
-    counts = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for x, r in enumerate(rows):
-        counts[x, np.frombuffer(r["cells"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
-    return fit(counts, [r["lang"] for r in rows])
+    return fit([(r["lang"], np.frombuffer(r["cells"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in rows])
 
 
 def identify(df: DataFrame, model: Model | None, text_col: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:
-    """Adds lang_pred, score and rejected to every row; other columns (the text if ``keep_text``) pass through.
+    """Adds lang_pred, score and rejected (after ``prefix``) to every row; other columns (the text if ``keep_text``) pass through.
 
     A document gets the language of its nearest centroid by cosine, and the cosine as its
     score. It is rejected if that is far below what training documents of its size reach.
     Null texts and those without a letter (and all, without a model) are ``und``, score 0,
-    rejected. Whole texts are read; rows are never shuffled. New names must not clash.
+    rejected. Whole texts are read; rows are never shuffled. Columns that have the new names are replaced.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)  # languages x CENTROIDS x DIMENSIONS floats
@@ -180,7 +194,7 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", prefix:
                     score, rejected = np.where(lettered, cosine, 0.0), rejected | far
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(language.tolist(), pa.string()), pa.array(score), pa.array(rejected)], [*passed, *added])
 
-    passed = [c for c in df.columns if keep_text or c != text_col]
+    passed = [c for c in df.columns if (keep_text or c != text_col) and c.lower() not in added]
     ddl = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in passed] + [f"`{added[0]}` string, `{added[1]}` double, `{added[2]}` boolean"])
     return df.mapInArrow(run, ddl)
 
