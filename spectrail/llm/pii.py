@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spectrail.llm._shared import table
+from spectrail.llm._shared import free_prefix, table
 
 #: Elements that one step of a running sum copies.
 CHUNK = 256
@@ -142,9 +142,9 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
     score. Base kinds stay at any score; the others need their least score; where that takes a
     context word, a span that follows another within ``CONTEXT`` characters shares its context, as in lists and columns. Offsets are code points of the
     whole text, end exclusive. Null and empty texts have no spans; rows are neither dropped
-    nor shuffled, other columns pass through. ``out`` must be a new name.
+    nor shuffled, other columns, whatever their names, pass through; a column named ``out`` is replaced.
     """
-    gap = f"__{out}"
+    gap = free_prefix(*df.columns)
     df = df.withColumn(f"{gap}_text", F.coalesce(F.col(text_col), F.lit("")))
     text = F.col(f"{gap}_text")
     gates = {k.name: text.contains(k.gate) if k.gate == "@" else text.rlike(k.gate) for k in KINDS}
@@ -167,30 +167,35 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _reach(ends: Column) -> Column:
+    """Before each element the largest of those before it, 0 for the first: a running maximum, in chunks of ``CHUNK``."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ends) - 1) / CHUNK).cast("int")), lambda b: F.slice(ends, b * CHUNK + 1, CHUNK))
+    before = F.aggregate(F.slice(chunks, 1, F.size(chunks) - 1), F.array(F.lit(0)), lambda a, c: F.concat(a, F.array(F.greatest(F.element_at(a, -1), F.array_max(c)))))
+
+    def inside(chunk: Column, top: Column) -> Column:
+        start = F.struct(top.alias("top"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(chunk, start, lambda acc, x: F.struct(F.greatest(acc["top"], x).alias("top"), F.concat(acc["out"], F.array(acc["top"])).alias("out")))["out"]
+
+    return F.flatten(F.zip_with(chunks, before, inside))
+
+
 def mask_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Replaces every span by its kind in brackets; of overlapping spans the union goes under the first's name.
 
     Texts without spans, null ones included, stay as they are; columns and rows stay.
     """
-    found = find_pii(df, text_col, "__pii")
-    kind = "struct<end:int,out:array<struct<kind:string,start:int,end:int>>>"
-    ordered = F.array_sort(F.transform("__pii", lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
-
-    def merge(acc: Column, x: Column) -> Column:
-        end = -x["back"]
-        last = F.element_at(acc["out"], -1)
-        grown = F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1), F.array(F.struct(last["kind"].alias("kind"), last["start"].alias("start"), F.greatest(acc["end"], end).alias("end"))))
-        added = F.concat(acc["out"], F.array(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), end.alias("end"))))
-        return F.struct(F.greatest(acc["end"], end).alias("end"), F.when(x["start"] < acc["end"], grown).otherwise(added).alias("out")).cast(kind)
-
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("out")).cast(kind)
-    found = found.withColumn("__spans", F.when(F.size("__pii") > 0, F.aggregate(ordered, start, merge)["out"]))
-    spans, text = F.col("__spans"), F.col(text_col)
-    pieces = F.transform(spans, lambda x, i: F.concat(
-        F.substr(text, F.when(i == 0, 1).otherwise(F.element_at(spans, F.greatest(i, F.lit(1)))["end"] + 1), x["start"] - F.when(i == 0, 0).otherwise(F.element_at(spans, F.greatest(i, F.lit(1)))["end"])),
-        F.lit("["), F.upper(x["kind"]), F.lit("]")))
-    masked = F.concat(F.array_join(pieces, ""), F.substr(text, F.element_at(spans, -1)["end"] + 1))
-    return found.withColumn(text_col, F.when(F.size(spans) > 0, masked).otherwise(text)).drop("__pii", "__spans")
+    found = free_prefix(*df.columns) + "found"
+    spans, reach = f"{found}_spans", f"{found}_reach"
+    out = find_pii(df, text_col, found)
+    ordered = F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
+    out = out.withColumn(spans, F.when(F.size(found) > 0, ordered))
+    out = out.withColumn(reach, _reach(F.transform(spans, lambda x: -x["back"])))
+    text = F.col(text_col)
+    # a span that begins before the reach of those before it is part of their union
+    piece = lambda x, r: F.when(x["start"] < r, "").otherwise(F.concat(F.substr(text, r + 1, x["start"] - r), F.lit("["), F.upper(x["kind"]), F.lit("]")))
+    end = F.array_max(F.transform(spans, lambda x: -x["back"]))
+    masked = F.concat(F.array_join(F.zip_with(spans, reach, piece), ""), F.substr(text, end + 1))
+    return out.withColumn(text_col, F.when(F.size(spans) > 0, masked).otherwise(text)).drop(found, spans, reach)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
