@@ -41,8 +41,8 @@ FOLLOW = {
 #: Share of vowels after a vowel and after a consonant of the same case.
 VOWELS = {True: 0.15, False: 0.5}
 _CODES = [{c: i for i, c in enumerate(letters)} for _, letters in ENCODINGS]
-#: Tokens whose randomness is rejected below this p-value are never reported; the share of false discoveries allowed.
-REJECT, RATE = 0.01, 0.01
+#: Tokens whose randomness the battery rejects below this p-value are never reported (one random token in a thousand); the share of false discoveries allowed.
+REJECT, RATE = 0.001, 0.01
 #: Length classes (upper ends), each with its own part of the false-discovery budget; bins a unit of -log10 p.
 LENGTHS, BINS, TOP = (24, 32, 48, 64, 1 << 62), 10, 400
 
@@ -60,46 +60,49 @@ def _class(c: str) -> str:
     return "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "sign"
 
 
-def _prose() -> np.ndarray:
-    """Log chance in prose of a character (second index) after another (first; 0 at the head)."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log chances in prose, of a character (second index) after another (first; 0 at the head): of its class, of it within
+    its class by share alone, and what its neighbour adds to that."""
     signs, total = "+/_=-", sum(LETTERS.values()) + 0.3 * len(LETTERS)
     share = {x: (v + 0.3) / total for x, v in LETTERS.items()}
     vocal = sum(share[x] for x in "aeiou")
     every = [c for x in LETTERS for c in (x, x.upper())] + list("0123456789" + signs)
-
-    def chance(a: str, b: str) -> float:
-        kind = _class(b)
-        first = FOLLOW[_class(a)][kind] if a else 0.25
-        if kind in ("digit", "sign"):
-            return first / (10 if kind == "digit" else len(signs))
-        x = b.lower()
-        if not a or _class(a) != kind:
-            return first * share[x]
-        v = VOWELS[a.lower() in "aeiou"]
-        return first * (v * share[x] / vocal if x in "aeiou" else (1 - v) * share[x] / (1 - vocal))
-
-    out = np.zeros((128, 128))
+    runs, shares, serial = np.zeros((128, 128)), np.zeros((128, 128)), np.zeros((128, 128))
     for b in every:
-        out[0, ord(b)] = math.log(chance("", b))
+        kind, x = _class(b), b.lower()
+        shares[:, ord(b)] = math.log(1 / 10 if kind == "digit" else 1 / len(signs) if kind == "sign" else share[x])
+        runs[0, ord(b)] = math.log(0.25)
         for a in every:
-            out[ord(a), ord(b)] = math.log(chance(a, b))
-    return out
+            runs[ord(a), ord(b)] = math.log(FOLLOW[_class(a)][kind])
+            if _class(a) == kind and kind in ("lower", "upper"):
+                v = VOWELS[a.lower() in "aeiou"]
+                serial[ord(a), ord(b)] = math.log(v / vocal if x in "aeiou" else (1 - v) / (1 - vocal))
+    return runs, shares, serial
+
 
+_RUNS, _SHARES, _SERIAL = _tables()
+#: Of each encoding, the log chances under randomness of a character's class, and of it within the class.
+_UNIFORM = {}
+for _name, _letters in ENCODINGS:
+    _n = {k: sum(_class(c) == k for c in _letters) for k in FOLLOW}
+    _UNIFORM[_name] = (np.zeros(128), np.zeros(128))
+    for _c in _letters:
+        _UNIFORM[_name][0][ord(_c)] = math.log(_n[_class(_c)] / len(_letters))
+        _UNIFORM[_name][1][ord(_c)] = -math.log(_n[_class(_c)])
 
-_PROSE = _prose()
 
+def battery(token: str) -> tuple[str, float, tuple[float, float, float]] | None:
+    """(encoding, p of randomness, evidence of each test) of a token.
 
-def battery(token: str) -> tuple[str, float, float] | None:
-    """(encoding, p of randomness, p of prose) of a token.
+    Three tests in the inferred encoding: is its alphabet used uniformly, do classes of characters run as they
+    should, do neighbours depend on each other. Each test looks both ways:
 
-    Under randomness characters are independent and uniform over the inferred encoding's
-    alphabet. Three tests: chi-squared over groups of the alphabet, Wald-Wolfowitz runs about
-    the middle code, and serial correlation of neighbours; their p-values are combined with
-    weight on the least (three times the least, one at most). They reject randomness, so they
-    can't be the p-values of a discovery. That is the p of prose, from the same three traits under
-    a null of prose in the inferred encoding: shares of characters, runs of a class, and vowels
-    among neighbours. It is one over the likelihood ratio of randomness to prose: prose has a
-    ratio of x or more with a chance of 1 / x at most, whatever the length and alphabet.
+    Against randomness (independent characters, uniform over the alphabet) by its classical statistic: chi-squared over
+    groups of the alphabet, Wald-Wolfowitz runs about the middle code, serial correlation of the codes. The p is three
+    times the least of the three, one at most.
+
+    Against prose written in that encoding by the log likelihood ratio of randomness to prose in the same trait: shares
+    of characters within their class, classes that follow each other, vowels among neighbouring letters.
     """
     body = token.rstrip("=")
     found = next(((name, code) for (name, _), code in zip(ENCODINGS, _CODES, strict=True) if all(c in code for c in body)), None)
@@ -125,8 +128,20 @@ def battery(token: str) -> tuple[str, float, float] | None:
     c = x - (size - 1) / 2
     p_serial = 2 * normal_tail(abs(float((c[1:] * c[:-1]).sum())) / ((size * size - 1) / 12 * math.sqrt(n - 1)))
     at = np.frombuffer(body.encode(), np.uint8)
-    ratio = -n * math.log(size) - float(_PROSE[np.append(0, at[:-1]), at].sum())
-    return name, min(1.0, 3 * min(p_uniform, p_runs, p_serial)), math.exp(-max(0.0, ratio))
+    before = np.append(0, at[:-1])
+    classes, within = _UNIFORM[name]
+    evidence = (float((within[at] - _SHARES[before, at]).sum()), float((classes[at] - _RUNS[before, at]).sum()), -float(_SERIAL[before, at].sum()))
+    return name, min(1.0, 3 * min(p_uniform, p_runs, p_serial)), evidence
+
+
+def p_prose(found: tuple[str, float, tuple[float, float, float]]) -> float:
+    """The battery's p-value of a discovery: of prose looking as random as the token, all three tests together.
+
+    Their evidence adds up to the likelihood ratio of randomness to prose. Prose has a ratio of x or more with a
+    chance of 1 / x at most, whatever the length and alphabet. A token whose randomness the battery rejects has
+    ratio 0: it is judged against random tokens that pass, so the bound holds, and is never reported.
+    """
+    return math.exp(-max(0.0, sum(found[2]))) if found[1] >= REJECT else 1.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -148,9 +163,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, in
             continue
         found = battery(m[0])
         if found:
-            # what the battery rejects is tested too, and never reported
-            p = found[2] if found[1] >= REJECT else 1.0
-            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), p))
+            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), p_prose(found)))
     return spans, tokens
 
 
@@ -176,6 +189,8 @@ def thresholds(counts: dict[tuple[int, int], int], tested: dict[int, int], rate:
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
     """Per row: base spans, and random-looking tokens kept at a false-discovery rate over the whole table.
 
+    What is controlled is the battery's combined p-value (``p_prose``), by length class.
+
     One pass scans whole texts and writes ids, spans and candidate tokens, a small part of the
     input, to the shared folder. Their p-values are counted in at most 5 x 400 bins, from which
     the thresholds follow; the second step only filters. Null and empty texts have no spans;
