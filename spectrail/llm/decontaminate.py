@@ -102,11 +102,13 @@ WITH w AS (
   SELECT 0 AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
   UNION ALL
   SELECT 1, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark),
+k AS (SELECT DISTINCT least(len(w), 5) AS width FROM w WHERE side = 1 AND len(w) > 0),
 s AS (
-  SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM w),
+  SELECT DISTINCT side, id, width, unnest(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' '))) AS shingle
+  FROM w JOIN k ON CASE WHEN side = 0 THEN len(w) >= width ELSE least(len(w), 5) = width END),
 n AS (SELECT id, count(*) AS n FROM s WHERE side = 1 GROUP BY id),
 p AS (
   SELECT d.id AS doc_id, i.id AS item_id, n.n AS n_item, count(*) AS n_shared
-  FROM s d JOIN s i USING (shingle) JOIN n ON n.id = i.id WHERE d.side = 0 AND i.side = 1 GROUP BY d.id, i.id, n.n)
+  FROM s d JOIN s i USING (shingle, width) JOIN n ON n.id = i.id WHERE d.side = 0 AND i.side = 1 GROUP BY d.id, i.id, n.n)
 SELECT *, n_shared / n_item::DOUBLE AS containment FROM p WHERE n_shared * 5 >= n_item * 4
 """
