@@ -1,4 +1,4 @@
-"""Spectral similarity: 71 aggregates over three ion scopes in log2 and linear space."""
+"""Spectral similarity: 71 features over three ion scopes in log2 and linear space."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectrail.functions.text import linear_intensity
+from spectrail.operators.kernel import feature_batches
 from spectrail.schemas import OFFSET, SCOPES, SPECTRAL_FEATURES
 
 _ION = {"ionb": "b", "iony": "y"}
@@ -45,9 +46,22 @@ def with_ranks(ions: DataFrame, keys: list[str]) -> DataFrame:
 def similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None = None) -> DataFrame:
     """The features of each key from its ions (keys, ion b or y, predicted, observed in log2).
 
+    One shuffle by key brings its ions together, some hundreds at most; Arrow batches of keys then go through
+    one vectorised kernel. Empty scopes give 0; ions without both values don't count.
+    """
+    wanted = only or SPECTRAL_FEATURES
+    x, y = F.col("predicted").cast("double"), F.col("observed").cast("double")
+    ion = F.when(x.isNotNull() & y.isNotNull(), F.struct((F.col("ion") == "b").alias("is_b"), x.alias("x"), y.alias("y")))
+    held = ions.groupBy(*keys).agg(F.collect_list(ion).alias("__ions"))
+    kinds = ", ".join([f"`{k}` {ions.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}` double" for c in wanted])
+    return held.mapInArrow(feature_batches(keys, wanted), kinds)
+
+
+def native_similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None = None) -> DataFrame:
+    """The same by aggregates alone, for a few features and as a check on the kernel.
+
     One shuffle by key: ranks are windows and everything else one aggregation over it. Scopes are
-    conditions inside the aggregates. Empty scopes give 0. Lists are those of one key's ions,
-    some hundreds at most.
+    conditions inside the aggregates.
     """
     wanted = only or SPECTRAL_FEATURES
     rows = ions.select(*keys, "ion", F.col("predicted").cast("double").alias("x"), F.col("observed").cast("double").alias("y"))
@@ -104,9 +118,14 @@ def _feature(name: str) -> Column:
     return F.coalesce(F.nanvl(value.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def correlation(ions: DataFrame, keys: list[str]) -> DataFrame:
-    """Pearson of predicted and observed log2 values; 0 with under two ions or no variance, null without observation."""
-    sound = ions.where(~F.isnan("predicted") & F.col("predicted").isNotNull())
-    out = similarity(sound.withColumn("observed", F.coalesce("observed", F.lit(0.0))), keys, ("spec_pearson_norm",))
-    seen = ions.groupBy(*keys).agg(F.count("observed").alias("n_observed"))
-    return seen.join(out, keys, "left").select(*keys, F.when(F.col("n_observed") > 0, F.coalesce("spec_pearson_norm", F.lit(0.0))).alias("correlation"))
+def correlation(ions: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Pearson of predicted and observed log2 values; 0 with under two ions or no variance, null without observation.
+
+    One aggregation, which ``more`` aggregates may join.
+    """
+    x = F.when(~F.isnan("predicted"), F.col("predicted"))
+    y = F.when(x.isNotNull(), F.coalesce("observed", F.lit(0.0)))
+    sums = [F.count(x), F.sum(x), F.sum(y), F.sum(x * x), F.sum(y * y), F.sum(x * y)]
+    held = ions.groupBy(*keys).agg(F.count("observed").alias("__n"), *(v.alias(f"__s{i}") for i, v in enumerate(sums)), *more)
+    value = F.coalesce(F.nanvl(_pearson(*(F.col(f"__s{i}") for i in range(6))), F.lit(0.0)), F.lit(0.0))
+    return held.withColumn("correlation", F.when(F.col("__n") > 0, value)).select(*keys, "correlation", *held.columns[len(keys) + 7 :])
