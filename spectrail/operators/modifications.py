@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +53,35 @@ def _ending(head: str) -> Column:
 
 #: Dictionary rows up to which it is brought to the driver once and broadcast; a larger one is joined as it is.
 BROADCAST_MODS = 200_000
+KINDS = ("nterm_residue", "nterm", "residue", "cterm_residue", "cterm")
+
+
+def _chosen(mods: DataFrame) -> DataFrame:
+    """A row for each (key, residue): key ``u:id`` or ``n:name``, and of each class struct(known, chosen) or null."""
+    known, parts = classify(mods), []
+    for by, head in (("unimod_id", "u:"), ("base", "n:")):
+        parts.append(candidates(known, by).select(F.concat(F.lit(head), F.col(by).cast("string")).alias("__key"), F.col("residue").alias("__of"), "class", F.struct("known", "chosen").alias("choice")))
+    rows = parts[0].unionByName(parts[1])
+    held = rows.groupBy("__key", "__of").agg(*(F.max(F.when(F.col("class") == k, F.col("choice"))).alias(f"__as_{k}") for k in KINDS))
+    if mods.count() <= BROADCAST_MODS:
+        held = F.broadcast(mods.sparkSession.createDataFrame(held.collect(), held.schema))
+    return held
+
+
+class ModificationError(ValueError):
+    """A modification that the dictionary can't resolve, named by the message."""
 
 
-def _chosen(mods: DataFrame) -> tuple[dict[str, DataFrame], bool]:
-    known = classify(mods)
-    held, small = {by: candidates(known, by) for by in ("unimod_id", "base")}, mods.count() <= BROADCAST_MODS
-    if small:
-        held = {by: mods.sparkSession.createDataFrame(df.collect(), df.schema) for by, df in held.items()}
-    return held, small
+def checked(df: DataFrame) -> DataFrame:
+    """Runs the resolution and raises ``ModificationError`` for what ``resolve`` refuses, before anything else runs."""
+    try:
+        df.write.format("noop").mode("overwrite").save()
+    except Exception as e:
+        found = re.search(r"(?:unknown|ambiguous) modification [^\n]*", str(e))
+        if found:
+            raise ModificationError(found[0]) from e
+        raise
+    return df
 
 
 def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,7 +93,7 @@ def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
     N-terminal form on the first residue, then the residue, then the C-terminal form on the last.
     Ambiguous candidates and unknown ids fail the query.
     """
-    held, small = _chosen(mods)
+    held = _chosen(mods)
     t = tokens.withColumn("token", F.trim("token"))
     t = t.withColumn("__id", F.regexp_extract("token", r"(?i)^(?:UNIMOD:)?([0-9]+)$", 1).try_cast("long"))
     n = F.length("sequence")
@@ -80,19 +103,17 @@ def resolve(tokens: DataFrame, mods: DataFrame, keys: list[str]) -> DataFrame:
     for (alias, on), to in ALIASES.items():
         name = F.when((F.lower("token") == alias) & (F.col("__residue") == on), to).otherwise(name)
     t = t.withColumn("__name", name)
-    order = {
+    applies = {
         "nterm_residue": (F.col("place") == "n") | (F.col("place") == "r") & (F.col("position") == 1), "nterm": F.col("place") == "n",
         "residue": F.col("place") == "r", "cterm_residue": (F.col("place") == "c") | (F.col("place") == "r") & (F.col("position") == n), "cterm": F.col("place") == "c",
     }
-    wanted, site = F.lit(None).cast("struct<name:string,site:string,known:boolean>"), {"nterm_residue": F.lit("0"), "nterm": F.lit("0"), "residue": F.col("position").cast("string"), "cterm_residue": F.lit("-1"), "cterm": F.lit("-1")}
-    for kind, applies in order.items():
-        for by, key in (("unimod_id", "__id"), ("base", "__name")):
-            found = held[by].where(F.col("class") == kind).select(F.col(by).alias("__k"), F.col("residue").alias("__r"), F.col("chosen").alias(f"__{kind}_{by}"), F.col("known").alias(f"__{kind}_{by}_k"))
-            side = F.when(F.col("__id").isNotNull(), by == "unimod_id").otherwise(by == "base")
-            match = side & applies & (F.col(key) == F.col("__k")) & (F.col("__r") == (F.col("__residue") if kind.endswith("residue") else F.lit("")))
-            t = t.join(F.broadcast(found) if small else found, match, "left").drop("__k", "__r")
-            hit = F.when(F.col(f"__{kind}_{by}_k"), F.struct(F.col(f"__{kind}_{by}").alias("name"), site[kind].alias("site"), F.lit(True).alias("known")))
-            wanted = F.coalesce(wanted, hit)
+    site = {"nterm_residue": F.lit("0"), "nterm": F.lit("0"), "residue": F.col("position").cast("string"), "cterm_residue": F.lit("-1"), "cterm": F.lit("-1")}
+    t = t.withColumn("__k", F.when(F.col("__id").isNotNull(), F.concat(F.lit("u:"), F.col("__id").cast("string"))).otherwise(F.concat(F.lit("n:"), "__name")))
+    # once for the forms on a residue, once for the bare ends
+    for of, kinds in ((F.col("__residue"), [k for k in KINDS if k.endswith("residue")]), (F.lit(""), ["nterm", "cterm"])):
+        found = held.select("__key", "__of", *(f"__as_{k}" for k in kinds))
+        t = t.join(found, (F.col("__k") == F.col("__key")) & (F.col("__of") == of), "left").drop("__key", "__of")
+    wanted = F.coalesce(*(F.when(applies[k] & F.col(f"__as_{k}.known"), F.struct(F.col(f"__as_{k}.chosen").alias("name"), site[k].alias("site"), F.lit(True).alias("known"))) for k in KINDS))
     explicit = F.regexp_extract("token", r"@([^@]*)$", 1)
     default = F.when(F.col("place") == "n", "0").when(F.col("place") == "c", "-1").otherwise(F.col("position").cast("string"))
     given = F.when(explicit.rlike(r"^(?:.*\^)?(?:Any|Protein)_N-term$"), "0").when(explicit.rlike(r"^(?:.*\^)?(?:Any|Protein)_C-term$"), "-1").otherwise(default)

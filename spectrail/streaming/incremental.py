@@ -18,7 +18,7 @@ def score_arrivals(spark: SparkSession, folder: str, schema: StructType, checkpo
     def step(batch: DataFrame, number: int) -> None:
         new = cache.missing(batch.dropDuplicates([held.key]), held.read(), held.key)
         if not new.isEmpty():
-            held.write(cache.merge_keep_last(held.read(), score(new), held.key))
+            held.append(score(new))
 
     query = spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
