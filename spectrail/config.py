@@ -21,6 +21,8 @@ class BuildConfig:
     tolerance: float = TOLERANCE
     calibration_fraction: float = 0.15
     recalibrate: bool = False
+    #: One gzipped file, or a folder of its members.
+    single_file: bool = True
     #: Rows cached under other settings count as missing; off: keys alone decide.
     fingerprint_caches: bool = False
 

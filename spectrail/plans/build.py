@@ -12,6 +12,7 @@ from spectrail.functions.peptide import decode_charge, parse_peptide, precursor_
 from spectrail.operators import cache, lookup, match, retention, similarity
 from spectrail.operators.lookup import LOCAL, NO_PREDICTION, Store
 from spectrail.plans.predictors import FragmentPredictor, TimePredictor
+from spectrail.progress import say, timed
 from spectrail.schemas import FEATURES, ROW_ID, RT_FEATURES, SPECTRAL_FEATURES
 from spectrail.sources import sinks, spectra, tables
 
@@ -35,6 +36,11 @@ def packed(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("precursor_key").agg(F.collect_list(F.struct("ion", F.col("row").cast("int").alias("row"), F.col("frag_charge").cast("int").alias("frag_charge"), F.col("mz").cast("float").alias("mz"), F.col("predicted").cast("double").alias("predicted"))).alias("fragments"))
 
 
+def wanting(found: DataFrame) -> DataFrame:
+    """Looked-up rows that have a variant but no prediction: these are predicted locally."""
+    return found.where((F.col("prediction_source") == NO_PREDICTION) & F.col("variant_id").isNotNull())
+
+
 def update_precursors(rows: DataFrame, store: Store | None, local: FragmentPredictor | None, held: cache.Cache) -> DataFrame:
     """The precursor cache with every key of ``rows``: from the store, else predicted locally, else marked as missing."""
     keys = rows.select("precursor_key", F.col("label_int").alias("label"), "sequence", "var_mod_sites_unimod", "charge")
@@ -48,20 +54,22 @@ def update_precursors(rows: DataFrame, store: Store | None, local: FragmentPredi
         raw = lookup.look_up(new, store)
         found = raw.drop("peak_code", "mz", "intensity")
         fragments = packed(lookup.scatter(raw, store.codes))
-        wanted = found.where((F.col("prediction_source") == NO_PREDICTION) & F.col("variant_id").isNotNull())
+        wanted = wanting(found)
     out = found.withColumn("fragments", F.lit(None).cast(_FRAGMENTS)) if fragments is None else found.join(fragments, "precursor_key", "left")
     if local is not None:
         made = packed(local.fragments(wanted.select("precursor_key", "sequence", "var_mod_sites_unimod", "charge"))).withColumn("prediction_source", F.lit(LOCAL))
         out = cache.update_by_key(out, made, "precursor_key", ["prediction_source", "fragments"])
     names = [c.split()[0] for c in _PRECURSORS.split(", ")[:-1]] + ["fragments"]
-    return held.write(cache.merge_keep_last(held.read(), out.select(names), "precursor_key"))
+    return held.append(out.select(names))
 
 
 def score(rows: DataFrame, precursors: DataFrame, peaks: DataFrame, tolerance: float) -> DataFrame:
     """(psm_key, 71 features) of the rows; all 0 without a spectrum, a prediction or a valid ion."""
     some = rows.select("psm_key", "precursor_key", F.col("ScanNr").cast("long").alias("scan_number")).dropDuplicates(["psm_key"])
     ions = some.join(precursors.select("precursor_key", "fragments"), "precursor_key").select("psm_key", "scan_number", F.inline("fragments")).where("mz > 0")
-    scans = peaks.select("scan_number").distinct()
+    # only scans that have both ions and peaks are sorted
+    scans, wanted = peaks.select("scan_number").distinct(), ions.select("scan_number").distinct()
+    peaks = peaks.join(wanted, "scan_number", "left_semi")
     matched = match.nearest_peaks(ions.join(scans, "scan_number", "left_semi").select("psm_key", "scan_number", "ion", "mz", "predicted"), peaks, "scan_number", tolerance)
     found = similarity.similarity(matched, ["psm_key"])
     return some.select("psm_key").join(found, "psm_key", "left").fillna(0.0, subset=list(SPECTRAL_FEATURES))
@@ -69,30 +77,38 @@ def score(rows: DataFrame, precursors: DataFrame, peaks: DataFrame, tolerance: f
 
 def update_spectral(rows: DataFrame, precursors: DataFrame, peaks: DataFrame, held: cache.Cache, tolerance: float) -> DataFrame:
     new = cache.missing(rows, held.read(), "psm_key")
-    return held.write(cache.merge_keep_last(held.read(), score(new, precursors, peaks, tolerance), "psm_key"))
+    return held.append(score(new, precursors, peaks, tolerance))
 
 
 def update_times(rows: DataFrame, times: TimePredictor, held: cache.Cache, config: BuildConfig) -> DataFrame:
     """The retention-time cache; the calibration is fitted on all current rows, kept, and reused unless asked not to."""
-    path = f"{config.cache_dir}/calibration.json"
     new = cache.missing(rows, held.read(), "psm_key")
     if new.isEmpty():
         return held.read()
-    at = None if config.recalibrate else sinks.read_json(path, None)
+    at = None if config.recalibrate else load_calibration(rows.sparkSession, config)
     if at is None:
         at = retention.knots(times.times(retention.calibration_set(rows, config.calibration_fraction)).where("raw IS NOT NULL"))
-        sinks.write_json(at, path)
+        save_calibration(rows.sparkSession, config, at)
     made = times.times(new).withColumn("predicted_retention_time", retention.calibrate(F.col("raw").cast("double"), [tuple(x) for x in at]))
     made = retention.base_features(made).dropDuplicates(["psm_key"]).select("psm_key", *RT_FEATURES)
-    return held.write(cache.merge_keep_last(held.read(), made, "psm_key"))
+    return held.append(made)
+
+
+def load_calibration(spark: SparkSession, config: BuildConfig) -> list | None:
+    return sinks.read_json(spark, f"{config.cache_dir}/calibration.json", None)
 
 
-def load_calibration(config: BuildConfig) -> list | None:
-    return sinks.read_json(f"{config.cache_dir}/calibration.json", None)
+def save_calibration(spark: SparkSession, config: BuildConfig, at: list) -> None:
+    sinks.write_json(spark, at, f"{config.cache_dir}/calibration.json")
 
 
-def save_calibration(config: BuildConfig, at: list) -> None:
-    sinks.write_json(at, f"{config.cache_dir}/calibration.json")
+def _held(df: DataFrame, path: str) -> DataFrame:
+    """A frame that several steps read, written once; those of runs before the last one go."""
+    held = cache.Cache(df.sparkSession, path, ROW_ID, "")
+    old = [name for _, _, name in held._folders()]
+    out = held.write(df)
+    held._delete(old[:-1])
+    return out
 
 
 def _features(spark: SparkSession, config: BuildConfig, store: Store | None, local: FragmentPredictor | None, times: TimePredictor | None) -> tuple[DataFrame, dict]:
@@ -102,15 +118,20 @@ def _features(spark: SparkSession, config: BuildConfig, store: Store | None, loc
     observed = spectra.read_spectra(spark, config.spectra)
     rows = augment(pin, config.run_id)
     rows = rows.join(observed.select(F.col("scan_number").alias("__scan"), F.col("rt_seconds").alias("observed_retention_time")), F.col("ScanNr").cast("long") == F.col("__scan"), "left").drop("__scan").fillna(0.0, subset=["observed_retention_time"])
+    rows = _held(rows, f"{config.cache_dir}/rows")
     at = lambda name, key, schema: cache.Cache(spark, f"{config.cache_dir}/{name}", key, schema, config.fingerprint)
     spectral, clock, precursor = at("spectral_features", "psm_key", _SPECTRAL), at("rt_features", "psm_key", _TIMES), at("precursors", "precursor_key", _PRECURSORS)
+    say(f"{config.run_id}: rows read, scoring what the caches lack")
     count = lambda df: df.select("psm_key").distinct().count()
     misses = {"spectral_misses": count(cache.missing(rows, spectral.read(), "psm_key")), "rt_misses": count(cache.missing(rows, clock.read(), "psm_key")) if times else 0}
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("precursor_key").alias("p"), F.count_distinct("psm_key").alias("k")).first()
-    precursors = update_precursors(rows, store, local, precursor)
-    scored = update_spectral(rows, precursors, spectra.peaks_long(observed), spectral, config.tolerance)
+    with timed(f"{config.run_id}: predictions of {counts['p']} precursors"):
+        precursors = update_precursors(rows, store, local, precursor)
+    with timed(f"{config.run_id}: spectral features, {misses['spectral_misses']} rows scored of {counts['k']}"):
+        scored = update_spectral(rows, precursors, spectra.peaks_long(observed), spectral, config.tolerance)
     out = rows.drop("observed_retention_time").join(scored, "psm_key", "left")
-    clocked = update_times(rows, times, clock, config) if times is not None else spark.createDataFrame([], _TIMES)
+    with timed(f"{config.run_id}: retention times, {misses['rt_misses']} rows", quiet=times is None):
+        clocked = update_times(rows, times, clock, config) if times is not None else spark.createDataFrame([], _TIMES)
     out = retention.best_per_peptide(out.join(clocked, "psm_key", "left"))
     out = out.fillna(0.0, subset=list(FEATURES))
     names = [c for c in pin.columns if c != ROW_ID]
@@ -128,8 +149,10 @@ def build_features(spark: SparkSession, config: BuildConfig, store: Store | None
 def build_pin(spark: SparkSession, config: BuildConfig, store: Store | None = None, local: FragmentPredictor | None = None, times: TimePredictor | None = None) -> BuildResult:
     """``build_features``, written as gzipped PIN text, with a manifest beside the caches."""
     table, stats = _features(spark, config, store, local, times)
-    sinks.write_pin(table, config.output)
-    manifest = sinks.read_json(f"{config.cache_dir}/manifest.json", {})
-    manifest |= stats | {"run_id": config.run_id, "match_table": config.match_table, "spectra": config.spectra, "calibration_present": load_calibration(config) is not None}
-    sinks.write_json(manifest, f"{config.cache_dir}/manifest.json")
+    with timed(f"{config.run_id}: output"):
+        sinks.write_pin(table, config.output, config.single_file)
+    manifest = sinks.read_json(spark, f"{config.cache_dir}/manifest.json", {})
+    facts = {f"{name}_{k}": v for name, path in (("match_table", config.match_table), ("spectra", config.spectra)) for k, v in sinks.file_facts(spark, path).items()}
+    manifest |= stats | facts | {"run_id": config.run_id, "match_table": config.match_table, "spectra": config.spectra, "calibration_present": load_calibration(spark, config) is not None}
+    sinks.write_json(spark, manifest, f"{config.cache_dir}/manifest.json")
     return BuildResult(config.run_id, config.output, config.cache_dir, **stats, metadata=manifest)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from typing import Protocol
+import importlib
+import uuid
+from collections.abc import Callable
+from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 
@@ -37,20 +40,36 @@ class TableTimes:
         return rows.join(self.table, self.key, "left")
 
 
+#: Models that this Python worker has loaded, by their ArrowModel.
+_LOADED: dict[str, Any] = {}
+
+
+def loaded(name: str, load: Callable[[], Any]) -> Any:
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
+
 class ArrowModel:
-    """Any function over Arrow batches; ``load`` runs once in each Python worker."""
+    """Any function over Arrow batches; ``load`` runs once in each Python worker, which serves many tasks."""
 
-    def __init__(self, load, predict, schema: str):
-        self.load, self.predict, self.schema = load, predict, schema
+    def __init__(self, load: Callable[[], Any], predict: Callable, schema: str):
+        self.load, self.predict, self.schema, self.name = load, predict, schema, uuid.uuid4().hex
 
     def _run(self, rows: DataFrame) -> DataFrame:
-        load, predict = self.load, self.predict
+        name, load, predict = self.name, self.load, self.predict
 
         def run(batches):
-            model = load()
+            model = loaded(name, load)
             for batch in batches:
                 yield predict(model, batch)
 
         return rows.mapInArrow(run, self.schema)
 
     fragments = times = _run
+
+
+def plug_in(path: str, **settings: Any) -> Any:
+    """A predictor made by ``module:function``, called with the settings."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)(**settings)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from spectrail.functions import peptide, text
 from spectrail.operators import cache, lookup, match, modifications, retention, similarity
+from spectrail.plans import build, correlate
 from spectrail.schemas import FEATURES, ROW_ID, RT_BEST, RT_FEATURES, SPECTRAL_FEATURES
-from spectrail.sources import sinks, spectra
+from spectrail.sources import sinks, spectra, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -114,19 +115,19 @@ def log2_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.round(value, 6).alias("log2_value"), F.round(text.linear_intensity(value), 4).alias("linear_value"))
 
 
-# --- matching: a user's events are peaks, shifted copies of a third of them the ions
+# --- matching: a user's events are peaks, shifted copies of them the ions
 
 
 def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     peaks = events.select("user_id", F.col("value").alias("mz"), (F.col("event_id") % 1000 + 1).cast("double").alias("intensity"), F.col("event_id").alias("peak_index"))
-    ions = events.where(F.col("event_id") % 3 == 0).select("user_id", "event_id", (F.col("value") + (F.col("event_id") % 7 - 3) * F.lit(0.01)).alias("mz"))
+    ions = events.select("user_id", "event_id", (F.col("value") + (F.col("event_id") % 7 - 3) * F.lit(0.01)).alias("mz"))
     return match.nearest_peaks(ions, peaks, "user_id", 0.5)
 
 
 _MATCH = """
 WITH peaks AS (SELECT user_id, value AS mz, max(event_id) AS hi, min(event_id) AS lo FROM events GROUP BY ALL),
-ions AS (SELECT user_id, event_id, value + (event_id % 7 - 3) * 0.01::DOUBLE AS mz FROM events WHERE event_id % 3 = 0),
+ions AS (SELECT user_id, event_id, value + (event_id % 7 - 3) * 0.01::DOUBLE AS mz FROM events),
 a AS (SELECT i.*, p.mz AS low, p.hi AS low_id FROM ions i ASOF LEFT JOIN peaks p ON p.user_id = i.user_id AND i.mz > p.mz),
 b AS (SELECT a.*, p.mz AS high, p.lo AS high_id FROM a ASOF LEFT JOIN peaks p ON p.user_id = a.user_id AND a.mz <= p.mz),
 m AS (SELECT user_id, event_id, CASE WHEN low IS NULL OR high IS NULL OR mz <= 0 THEN 0.0::DOUBLE
@@ -203,14 +204,15 @@ def format_10g(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.format_10g(F.col("p_retailprice") / 7.0).alias("price"), text.format_10g(F.col("p_size") * F.lit(1e-7)).alias("small"), text.format_10g(F.col("p_partkey") * F.lit(1e11)).alias("large"))
 
 
-# --- prediction store: customers stand in for peptides, parts for variants, suppliers for predictions
+# --- prediction store: customers stand in for peptides, parts for their variants (three a peptide), suppliers for predictions.
+# There are fewer parts and suppliers than customers need, so some variants and predictions are missing.
 
 _ASK = """SELECT o_orderkey, 'k' || o_orderkey AS precursor_key, CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE -1 END AS label, 'P' || o_custkey AS sequence,
   CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderkey % 3 || ':35' END AS var_mod_sites_unimod, CAST(o_orderkey % 3 + 1 AS INTEGER) AS charge FROM orders"""
-_PEP = "SELECT c_custkey AS peptide_id, 'P' || c_custkey AS pep_seq, c_custkey % 2 = 0 AS is_target FROM customer WHERE c_custkey % 11 <> 0"
-_VAR = """SELECT p_partkey AS variant_id, p_partkey % 1500 AS peptide_id, p_partkey % 2 = 0 AS is_target, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_partkey % 3 || ':35' END AS var_mod_sites_unimod,
-  CASE WHEN p_partkey % 5 = 0 THEN '0:4' END AS fixed_mod_sites_unimod FROM part WHERE p_partkey < 1500"""
-_PRED = "SELECT s_suppkey * 10 + s_nationkey % 3 + 1 AS precursor_id, s_suppkey % 2 = 0 AS is_target, s_acctbal FROM supplier"
+_PEP = "SELECT c_custkey AS peptide_id, 'P' || c_custkey AS pep_seq, c_custkey % 2 = 0 AS is_target FROM customer"
+_VAR = """SELECT p_partkey AS variant_id, p_partkey // 3 AS peptide_id, p_partkey // 3 % 2 = 0 AS is_target, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_partkey % 3 || ':35' END AS var_mod_sites_unimod,
+  CASE WHEN p_partkey % 5 = 0 THEN '0:4' END AS fixed_mod_sites_unimod FROM part"""
+_PRED = "SELECT s_suppkey * 10 + s_nationkey % 3 + 1 AS precursor_id, s_suppkey // 3 % 2 = 0 AS is_target, s_acctbal FROM supplier"
 _RESOLVED = f"""WITH q AS ({_ASK}), pep AS ({_PEP}), var AS ({_VAR}), pred AS ({_PRED}),
 r AS (SELECT q.*, v.variant_id, coalesce(v.fixed_mod_sites_unimod, '') AS fixed, v.variant_id * 10 + q.charge AS precursor_id, q.label = 1 AS is_target
   FROM q LEFT JOIN pep p ON p.pep_seq = q.sequence AND p.is_target = (q.label = 1)
@@ -221,9 +223,9 @@ r AS (SELECT q.*, v.variant_id, coalesce(v.fixed_mod_sites_unimod, '') AS fixed,
 def store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, lookup.Store]:
     read = lambda name: table(spark, sf_dir, name)
     ask = read("orders").select("o_orderkey", F.expr("'k' || o_orderkey").alias("precursor_key"), F.expr("CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE -1 END").alias("label"), F.expr("'P' || o_custkey").alias("sequence"), F.expr("CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderkey % 3 || ':35' END").alias("var_mod_sites_unimod"), F.expr("CAST(o_orderkey % 3 + 1 AS INT)").alias("charge"))
-    pep = read("customer").where("c_custkey % 11 <> 0").select(F.col("c_custkey").alias("peptide_id"), F.expr("'P' || c_custkey").alias("pep_seq"), F.expr("c_custkey % 2 = 0").alias("is_target"))
-    var = read("part").where("p_partkey < 1500").select(F.col("p_partkey").alias("variant_id"), F.expr("p_partkey % 1500").alias("peptide_id"), F.expr("p_partkey % 2 = 0").alias("is_target"), F.expr("CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_partkey % 3 || ':35' END").alias("var_mod_sites_unimod"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN '0:4' END").alias("fixed_mod_sites_unimod"), F.lit(None).cast("array<string>").alias("all_unimods"))
-    pred = read("supplier").select(F.expr("s_suppkey * 10 + s_nationkey % 3 + 1").alias("precursor_id"), F.expr("s_suppkey % 2 = 0").alias("is_target"), F.array(F.col("s_nationkey")).alias("peak_code"), F.array("s_acctbal").alias("mz"), F.array("s_acctbal").alias("intensity"))
+    pep = read("customer").select(F.col("c_custkey").alias("peptide_id"), F.expr("'P' || c_custkey").alias("pep_seq"), F.expr("c_custkey % 2 = 0").alias("is_target"))
+    var = read("part").select(F.col("p_partkey").alias("variant_id"), F.expr("p_partkey div 3").alias("peptide_id"), F.expr("p_partkey div 3 % 2 = 0").alias("is_target"), F.expr("CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_partkey % 3 || ':35' END").alias("var_mod_sites_unimod"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN '0:4' END").alias("fixed_mod_sites_unimod"), F.lit(None).cast("array<string>").alias("all_unimods"))
+    pred = read("supplier").select(F.expr("s_suppkey * 10 + s_nationkey % 3 + 1").alias("precursor_id"), F.expr("s_suppkey div 3 % 2 = 0").alias("is_target"), F.array(F.col("s_nationkey")).alias("peak_code"), F.array("s_acctbal").alias("mz"), F.array("s_acctbal").alias("intensity"))
     return ask, lookup.Store(pep, var, pred, codes(spark, sf_dir))
 
 
@@ -260,18 +262,34 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("peak_code"), F.expr("CASE n_regionkey % 3 WHEN 0 THEN 'b' WHEN 1 THEN 'y' ELSE 'x' END").alias("ion_type"), F.expr("CAST(n_nationkey % 10 AS INT)").alias("position"), F.expr("CAST(n_regionkey % 4 + 1 AS INT)").alias("fragment_charge"), F.expr("CASE WHEN n_nationkey % 7 = 0 THEN 'H2O' ELSE 'none' END").alias("neutral_loss"))
 
 
-@query(f"""WITH c AS ({_CODES}), z AS (SELECT vec_id, 6 + vec_id % 6 AS n, unnest(range(1, 61)) AS i, embedding FROM embeddings),
+_CELLS = f"""WITH c AS ({_CODES}), z AS (SELECT vec_id, 6 + vec_id % 6 AS n, unnest(range(1, len(embedding) + 1)) AS i, embedding FROM embeddings),
 f AS (SELECT vec_id, n, i, (i * 7 + vec_id) % 30 AS peak_code, embedding[i] + 0.1::FLOAT AS mz, embedding[i]::DOUBLE AS intensity FROM z),
 g AS (SELECT f.*, ion_type AS ion, CASE WHEN ion_type = 'b' THEN position - 1 ELSE n - 1 - position END AS "row", fragment_charge AS frag_charge FROM f JOIN c USING (peak_code)
-  WHERE neutral_loss = 'none' AND ion_type IN ('b', 'y') AND fragment_charge <= 3 AND position BETWEEN 1 AND n - 1 AND mz > 0 AND intensity > 0)
-SELECT vec_id, ion, "row"::BIGINT AS "row", frag_charge, round(arg_max(mz, i)::DOUBLE, 6) AS mz, round(log2(arg_max(intensity, i) + 0.001::DOUBLE), 6) AS predicted FROM g GROUP BY vec_id, ion, "row", frag_charge""")
-def array_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+  WHERE neutral_loss = 'none' AND ion_type IN ('b', 'y') AND fragment_charge <= 3 AND position BETWEEN 1 AND n - 1 AND mz > 0 AND intensity > 0),
+d AS (SELECT vec_id, ion, "row"::BIGINT AS "row", frag_charge, round(arg_max(mz, i)::DOUBLE, 6) AS mz, round(log2(arg_max(intensity, i) + 0.001::DOUBLE), 6) AS predicted, round(log2(arg_max(intensity, i) + 0.001::DOUBLE)::FLOAT::DOUBLE, 6) AS short FROM g GROUP BY vec_id, ion, "row", frag_charge)
+"""
+
+
+def scattered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.repeat(F.lit("A"), (F.col("vec_id") % 6 + 6).cast("int")).alias("sequence"), "embedding")
-    found = e.select("vec_id", "sequence", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: ((i * 7 + F.col("vec_id")) % 30).cast("int")).alias("peak_code"), F.transform("embedding", lambda x: x + F.lit(0.1).cast("float")).alias("mz"), F.col("embedding").alias("intensity"))
-    got = lookup.scatter(found, codes(spark, sf_dir), "vec_id")
+    found = e.select("vec_id", "sequence", F.transform(F.sequence(F.lit(1), F.size("embedding")), lambda i: ((i * 7 + F.col("vec_id")) % 30).cast("int")).alias("peak_code"), F.transform("embedding", lambda x: x + F.lit(0.1).cast("float")).alias("mz"), F.col("embedding").alias("intensity"))
+    return lookup.scatter(found, codes(spark, sf_dir), "vec_id"), found.select("vec_id", F.length("sequence").alias("length"))
+
+
+@query(_CELLS + "SELECT * EXCLUDE (short) FROM d")
+def array_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got, _ = scattered(spark, sf_dir)
     return got.select("vec_id", "ion", F.col("row").cast("long").alias("row"), "frag_charge", F.round(F.col("mz").cast("double"), 6).alias("mz"), F.round("predicted", 6).alias("predicted"))
 
 
+@query(_CELLS + """, every AS (SELECT vec_id, ion, "row", unnest([1, 2, 3]) AS frag_charge FROM (SELECT vec_id, unnest(['b', 'y']) AS ion, r AS "row" FROM (SELECT vec_id, unnest(range(0, 5 + vec_id % 6)) AS r FROM embeddings)))
+SELECT vec_id, ion, "row"::INTEGER AS "row", frag_charge, coalesce(mz, 0) AS mz, coalesce(short, 0) AS predicted FROM every LEFT JOIN d USING (vec_id, ion, "row", frag_charge)""")
+def dense_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lookup.matrices(*scattered(spark, sf_dir), "vec_id")
+    parts = [got.select("vec_id", F.lit(i).alias("ion"), F.posexplode(F.arrays_zip(f"{i}_mz", f"{i}_intensity")).alias("row", "z")).select("vec_id", "ion", "row", F.posexplode(F.arrays_zip(f"z.{i}_mz", f"z.{i}_intensity")).alias("c", "v")).select("vec_id", "ion", "row", (F.col("c") + 1).alias("frag_charge"), F.round(F.col("v")[f"{i}_mz"].cast("double"), 6).alias("mz"), F.round(F.col("v")[f"{i}_intensity"].cast("double"), 6).alias("predicted")) for i in "by"]
+    return parts[0].unionByName(parts[1])
+
+
 @query("SELECT vec_id, string_agg((i - 1)::VARCHAR, ',' ORDER BY v, i) AS places FROM (SELECT vec_id, i, embedding[i] AS v FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)) GROUP BY vec_id")
 def peak_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     peaks = spectra.sorted_peaks(F.col("embedding"), F.col("embedding"))
@@ -325,6 +343,101 @@ def rt_calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.round(retention.calibrate(F.col("value"), at), 6).alias("calibrated"))
 
 
+@query(_VALUES + "SELECT pair_id, round(coalesce(corr(x, y), 0), 6) + 0.0::DOUBLE AS correlation, count(*) FILTER (WHERE x > 0 AND ion = 'b') AS n_b_ions, count(*) FILTER (WHERE x > 0 AND ion = 'y') AS n_y_ions FROM r GROUP BY pair_id")
+def pair_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ions = vector_ions(spark, sf_dir).withColumn(ROW_ID, F.col("pair_id")).withColumn("mz", F.col("predicted"))
+    got = similarity.correlation(ions, [ROW_ID]).join(correlate.ion_counts(ions), ROW_ID)
+    return got.select(F.col(ROW_ID).alias("pair_id"), six("correlation", "correlation"), "n_b_ions", "n_y_ions")
+
+
+@query(f"""SELECT c_custkey, coalesce(try_cast(CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR END AS BIGINT), scan) AS scan FROM (SELECT c_custkey, t, coalesce(try_cast(regexp_extract(t, '(?i)(?:^|[^0-9])scans?[ =:]+([0-9]+)(?:[^0-9]|$)', 1) AS BIGINT), try_cast(regexp_extract(t, '^([0-9]+)$', 1) AS BIGINT)) AS scan
+  FROM (SELECT c_custkey, 'x Scan=' || c_custkey || ' end' AS t FROM customer))""")
+def mgf_scan_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scans = F.expr("CASE WHEN c_custkey % 3 = 0 THEN c_custkey || ',7' WHEN c_custkey % 3 = 1 THEN 'none' END")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.scan_from_mgf(scans, F.expr("'x Scan=' || c_custkey || ' end'")).alias("scan"))
+
+
+@query("""SELECT 'q' || o_orderkey AS identifier, o_custkey::VARCHAR AS scans, round(o_totalprice, 2) AS precursor_mz, (o_orderkey % 4 + 1)::INTEGER AS precursor_charge,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + 0.5::DOUBLE END AS retention_time, 2 AS peaks, round(o_custkey + 0.25::DOUBLE, 3) AS first_mz FROM orders WHERE o_orderkey % 5 <> 0""")
+def mgf_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = F.expr("""concat('junk\n\nBEGIN IONS\nTITLE=q', o_orderkey, '\nSCANS=', o_custkey, '\nPEPMASS=', round(o_totalprice, 2), ' 100\nCHARGE=', o_orderkey % 4 + 1, '+\n',
+      CASE WHEN o_orderkey % 2 = 0 THEN concat('RTINSECONDS=', o_orderkey, '.5\n') ELSE '' END, CASE WHEN o_orderkey % 5 = 0 THEN 'bad line\n' ELSE concat(o_custkey, '.25 5\nbad line\n', o_custkey, '.5\t7 extra\n') END)""")
+    got = spectra.mgf_spectra(table(spark, sf_dir, "orders").select(block.alias("value"), F.col("o_orderkey").alias("__order")))
+    return got.select("identifier", "scans", F.round("precursor_mz", 2).alias("precursor_mz"), "precursor_charge", "retention_time", F.size("mz_array").alias("peaks"), F.round(F.col("mz_array")[0].cast("double"), 3).alias("first_mz"))
+
+
+@query("SELECT o_orderkey, row_number() OVER () - 1 AS row_id FROM orders")
+def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables._parquet(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", F.col(ROW_ID).alias("row_id"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS p_partkey, printf('%.10g', p_retailprice / 7.0::DOUBLE) AS price, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE printf('%.10g', (p_size * 0.1::FLOAT)::DOUBLE) END AS size,
+  CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_brand END AS brand FROM part""")
+def pin_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias(ROW_ID), "p_partkey", (F.col("p_retailprice") / 7.0).alias("price"), F.when(F.col("p_partkey") % 3 == 0, float("nan")).otherwise((F.col("p_size") * F.lit(0.1).cast("float")).cast("float")).cast("double").alias("size"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand")).alias("brand"))
+    return sinks.as_text(rows).drop(ROW_ID)
+
+
+@query(f"""WITH s AS (SELECT c_custkey, {_LETTERS} || 'MUK' AS sequence, length({_LETTERS}) || ':35' AS mods FROM customer), k AS (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END AS label, (c_custkey % 3 + 1)::INTEGER AS charge FROM s)
+SELECT c_custkey, charge, sequence, mods AS var_mod_sites_unimod, label || '|' || sequence || '|' || mods || '|' || charge AS precursor_key, 'r|s' || c_custkey || '|' || {_LETTERS} || 'M[U:35]UK|' || charge || '|' || label AS psm_key FROM k""")
+def row_augmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.expr("'s' || c_custkey").alias("SpecId"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END").alias("Label"), F.expr(_LETTERS + " || 'M[U:35]UK'").alias("Peptide"), *((F.col("c_custkey") % 3 + 1 == z).cast("int").alias(f"Charge{z}") for z in (1, 2, 3)))
+    return build.augment(rows, "r").select("c_custkey", "charge", "sequence", "var_mod_sites_unimod", "precursor_key", "psm_key")
+
+
+@query(_RESOLVED + """SELECT o_orderkey FROM r LEFT JOIN pred ON pred.precursor_id = r.precursor_id AND pred.is_target = r.is_target WHERE s_acctbal IS NULL AND variant_id IS NOT NULL""")
+def needs_local_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ask, held = store(spark, sf_dir)
+    return build.wanting(lookup.look_up(ask, held)).select("o_orderkey")
+
+
+@query(f"""WITH m AS ({_MODS}), s AS (SELECT DISTINCT mod_name, lower(split_part(mod_name, '@', 1)) AS base, split_part(mod_name, '@', 2) AS site FROM m),
+c AS (SELECT mod_name, base, CASE site WHEN 'Any_N-term' THEN 'nterm' WHEN 'Protein_C-term' THEN 'cterm' WHEN 'Any_C-term' THEN 'cterm' WHEN 'q^Any_N-term' THEN 'nterm_residue' WHEN 'K' THEN 'residue' ELSE 'cterm_residue' END AS class,
+  CASE site WHEN 'q^Any_N-term' THEN 'Q' WHEN 'K' THEN 'K' WHEN 'k^Any_C-term' THEN 'K' ELSE '' END AS residue FROM s WHERE site NOT IN ('xx', 'Q^Any_where'))
+SELECT base, class, residue, CASE WHEN class <> 'residue' AND count(*) FILTER (WHERE regexp_matches(mod_name, 'Any_[NC]-term$')) = 1 THEN max(mod_name) FILTER (WHERE regexp_matches(mod_name, 'Any_[NC]-term$'))
+  WHEN class <> 'residue' AND count(*) FILTER (WHERE regexp_matches(mod_name, 'Protein_[NC]-term$')) = 1 THEN max(mod_name) FILTER (WHERE regexp_matches(mod_name, 'Protein_[NC]-term$')) WHEN count(*) = 1 THEN max(mod_name) END AS chosen FROM c GROUP BY base, class, residue""")
+def mod_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.expr("p_brand || '@' || CASE p_partkey % 8 WHEN 0 THEN 'Any_N-term' WHEN 1 THEN 'Protein_C-term' WHEN 2 THEN 'q^Any_N-term' WHEN 3 THEN 'K' WHEN 4 THEN 'k^Any_C-term' WHEN 5 THEN 'xx' WHEN 6 THEN 'Any_C-term' ELSE 'Q^Any_where' END")
+    known = modifications.classify(table(spark, sf_dir, "part").select(name.alias("mod_name"), F.lit(None).cast("long").alias("unimod_id")))
+    return modifications.candidates(known, "base").select("base", "class", "residue", "chosen")
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'Oxidation@M' WHEN 2 THEN 'Acetyl@Any_N-term' ELSE 'Oxidation@M;Acetyl@Any_N-term;Amidated@Any_C-term' END AS mods,
+  CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN '2' WHEN 2 THEN '0' ELSE '1;0;-1' END AS mod_sites FROM part""")
+def variant_mods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = F.expr("CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN '1:35' WHEN 2 THEN '3:1' ELSE '0:35;3:1;-1:2' END")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lit("MMK").alias("sequence"), modifications.variant_tokens(sites, F.lit("MMK")).alias("tokens"))
+    return modifications.annotate(rows, spark.createDataFrame(_DICTIONARY, "mod_name string, unimod_id long"), "p_partkey").select("p_partkey", "mods", "mod_sites")
+
+
+@query("""SELECT c_custkey, 'Own@' || CASE c_custkey % 3 WHEN 0 THEN 'Any_N-term' WHEN 1 THEN 'Q^Protein_C-term' ELSE 'K' END AS mod, CASE c_custkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '-1' ELSE '2' END AS site FROM customer""")
+def explicit_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    token = F.expr("'Own@' || CASE c_custkey % 3 WHEN 0 THEN 'Any_N-term' WHEN 1 THEN 'Q^Protein_C-term' ELSE 'K' END")
+    tokens = table(spark, sf_dir, "customer").select("c_custkey", F.lit("r").alias("place"), F.lit(2).alias("position"), token.alias("token"), F.lit("QMK").alias("sequence"))
+    return modifications.resolve(tokens, spark.createDataFrame(_DICTIONARY, "mod_name string, unimod_id long"), ["c_custkey"]).select("c_custkey", "mod", "site")
+
+
+@query("""WITH peaks AS (SELECT user_id, value AS mz, max(event_id) AS hi, min(event_id) AS lo FROM events GROUP BY ALL),
+held AS (SELECT c_custkey, unnest(range(0, 6)) AS k, abs(c_acctbal) / 100 AS base FROM customer WHERE c_custkey % 3 <> 0),
+rows AS (SELECT o_orderkey, o_custkey % 120 AS scan, o_custkey FROM orders),
+ions AS (SELECT o_orderkey, scan, k, base + k * 0.3::DOUBLE AS mz, k * 0.5::DOUBLE AS x FROM rows JOIN held ON c_custkey = o_custkey WHERE base + k * 0.3::DOUBLE > 0 AND scan IN (SELECT user_id FROM events)),
+a AS (SELECT i.*, p.mz AS low, p.hi AS low_id FROM ions i ASOF LEFT JOIN peaks p ON p.user_id = i.scan AND i.mz > p.mz),
+b AS (SELECT a.*, p.mz AS high, p.lo AS high_id FROM a ASOF LEFT JOIN peaks p ON p.user_id = a.scan AND a.mz <= p.mz),
+m AS (SELECT o_orderkey, k, x, CASE WHEN low IS NULL OR high IS NULL THEN 0.0::DOUBLE WHEN mz - low <= high - mz AND mz - low < 0.5::DOUBLE THEN log2(low_id % 1000 + 1 + 0.001::DOUBLE)
+  WHEN high - mz < mz - low AND high - mz < 0.5::DOUBLE THEN log2(high_id % 1000 + 1 + 0.001::DOUBLE) ELSE 0.0::DOUBLE END AS y FROM b),
+f AS (SELECT o_orderkey, avg((x - y) * (x - y)) AS mse, sum(x * y) FILTER (WHERE k >= 3) AS dot FROM m GROUP BY o_orderkey)
+SELECT o_orderkey, round(coalesce(mse, 0), 6) AS spec_mse_norm, round(coalesce(dot, 0), 6) AS dotprod_iony_norm FROM rows LEFT JOIN f USING (o_orderkey)""")
+def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both a spectrum and a prediction, or zeros: orders are rows, customers precursors, a user's events a spectrum."""
+    events = table(spark, sf_dir, "events")
+    peaks = events.select(F.col("user_id").alias("scan_number"), F.col("value").alias("mz"), (F.col("event_id") % 1000 + 1).cast("double").alias("intensity"), F.col("event_id").alias("peak_index"))
+    ion = lambda k: F.struct(F.when(k < 3, "b").otherwise("y").alias("ion"), k.alias("row"), F.lit(1).alias("frag_charge"), (F.abs("c_acctbal") / 100 + k * 0.3).alias("mz"), (k * 0.5).alias("predicted"))
+    held = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("precursor_key"), F.transform(F.sequence(F.lit(0), F.lit(5)), ion).alias("fragments"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("psm_key"), F.col("o_custkey").alias("precursor_key"), (F.col("o_custkey") % 120).alias("ScanNr"))
+    got = build.score(rows, held, peaks, 0.5)
+    return got.select(F.col("psm_key").alias("o_orderkey"), six("spec_mse_norm", "spec_mse_norm"), six("dotprod_iony_norm", "dotprod_iony_norm"))
+
+
 # --- caches
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,51 +26,87 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(ROW_ID, *(one(c, k) for c, k in df.dtypes if c != ROW_ID))
 
 
-def write_pin(df: DataFrame, path: str) -> str:
-    """One gzipped text file with a header, rows in their order.
+def write_pin(df: DataFrame, path: str, single: bool = True) -> str:
+    """Gzipped text with a header, rows in their order: one file, or a folder of members.
 
     Rows are sorted by ranges on the executors and compressed there, each range as a gzip member of
-    its own; members one after another are one gzip file, so the last step only moves bytes.
+    its own, the header in the first. Members one after another are one gzip file: the last step only moves bytes, through the
+    driver's JVM unless the file system can join files by itself. For output too large for that, ``single=False``
+    leaves the folder, whose files in name order are the same text.
     """
     spark, columns = df.sparkSession, [c for c in df.columns if c != ROW_ID]
-    line = as_text(df).select(ROW_ID, F.concat_ws("\t", *(F.col(f"`{c}`") for c in columns)).alias("value")).orderBy(ROW_ID)
-    parts, header = f"{path}.parts", f"{path}.head"
-    line.select("value").write.mode("overwrite").text(parts, compression="gzip")
-    spark.createDataFrame([("\t".join(columns),)], "value string").coalesce(1).write.mode("overwrite").text(header, compression="gzip")
-    return joined_files(spark, [header, parts], path)
+    header = spark.range(1).select(F.lit(-1).cast("long").alias(ROW_ID), F.lit("\t".join(columns)).alias("value"))
+    line = as_text(df).select(F.col(ROW_ID).cast("long").alias(ROW_ID), F.concat_ws("\t", *(F.col(f"`{c}`") for c in columns)).alias("value"))
+    line = header.unionByName(line).orderBy(ROW_ID).select("value")
+    folder = f"{path}.parts" if single else path
+    line.write.mode("overwrite").text(folder, compression="gzip")
+    return joined_files(spark, folder, path) if single else path
 
 
-def joined_files(spark: SparkSession, folders: list[str], path: str) -> str:
-    """Files of the folders, in name order, as one; it takes its name when it is complete."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop = jvm.org.apache.hadoop.fs
+def joined_files(spark: SparkSession, folder: str, path: str) -> str:
+    """Files of the folder, in name order, as one; it takes its name when it is complete."""
+    fs, hadoop = _hadoop(spark, path)
     target, temporary = hadoop.Path(path), hadoop.Path(f"{path}.tmp")
-    fs = target.getFileSystem(conf)
+    names = sorted((s.getPath() for s in fs.listStatus(hadoop.Path(folder)) if s.getPath().getName().startswith("part-")), key=str)
     out = fs.create(temporary, True)
-    for folder in folders:
-        names = sorted(str(s.getPath()) for s in fs.listStatus(hadoop.Path(folder)) if s.getPath().getName().startswith("part-"))
-        for name in names:
-            stream = fs.open(hadoop.Path(name))
-            jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
-            stream.close()
+    for name in names:
+        stream = fs.open(name)
+        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+        stream.close()
     out.close()
-    for folder in folders:
-        fs.delete(hadoop.Path(folder), True)
-    fs.delete(target, False)
-    fs.rename(temporary, target)
+    fs.delete(hadoop.Path(folder), True)
+    _replace(spark, temporary, target)
     return path
 
 
-def read_json(path: str, default: Any) -> Any:
-    if not os.path.exists(path):
+def _hadoop(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _replace(spark: SparkSession, temporary, target) -> None:
+    """The file under its own name in one step, over an older one."""
+    sc = spark.sparkContext
+    hadoop, conf = sc._jvm.org.apache.hadoop.fs, sc._jsc.hadoopConfiguration()
+    kind = getattr(hadoop, "Options$Rename")
+    over = sc._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    uri = target.getFileSystem(conf).getUri()
+    hadoop.FileContext.getFileContext(uri, conf).rename(temporary, target, over)
+
+
+def file_facts(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes and time of change (ms) of a file, or of all files of a folder."""
+    fs, hadoop = _hadoop(spark, path)
+    found = fs.getContentSummary(hadoop.Path(path))
+    return {"bytes": found.getLength(), "changed_ms": fs.getFileStatus(hadoop.Path(path)).getModificationTime()}
+
+
+def read_json(spark: SparkSession, path: str, default: Any) -> Any:
+    """A small JSON file wherever Spark reads from."""
+    fs, hadoop = _hadoop(spark, path)
+    if not fs.exists(hadoop.Path(path)):
         return default
-    with open(path) as f:
-        return json.load(f)
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def write_json(value: Any, path: str) -> None:
-    """Sorted keys; the file changes in one step."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with tempfile.NamedTemporaryFile("w", dir=os.path.dirname(os.path.abspath(path)), delete=False) as f:
-        json.dump(value, f, indent=2, sort_keys=True)
-    os.replace(f.name, path)
+def write_json(spark: SparkSession, value: Any, path: str) -> None:
+    """Sorted keys; written beside the file, which then takes its place."""
+    fs, hadoop = _hadoop(spark, path)
+    target, temporary = hadoop.Path(path), hadoop.Path(f"{path}.tmp")
+    out = fs.create(temporary, True)
+    out.write(bytearray(json.dumps(value, indent=2, sort_keys=True).encode()))
+    out.close()
+    _replace(spark, temporary, target)
+
+
+def write_json_list(df: DataFrame, path: str, order: str) -> str:
+    """One JSON list of the rows in order; nulls are written. Rows are sorted and formatted on the executors."""
+    spark = df.sparkSession
+    fields = F.to_json(F.struct(*(c for c in df.columns)), {"ignoreNullFields": "false"})
+    rows = df.select(F.col(order).cast("long").alias("__at"), fields.alias("value"))
+    first = rows.agg(F.min("__at")).first()[0]
+    rows = rows.withColumn("value", F.concat(F.lit("  "), F.when(F.col("__at") == F.lit(first), "").otherwise(", "), "value"))
+    ends = spark.createDataFrame([(-(2**62), "["), (2**62, "]")], "__at long, value string")
+    ends.unionByName(rows).orderBy("__at").select("value").write.mode("overwrite").text(f"{path}.parts")
+    return joined_files(spark, f"{path}.parts", path)

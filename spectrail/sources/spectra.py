@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from spectrail.functions.text import normal_id, scan_from_mgf
-from spectrail.sources.tables import bare_name
+from spectrail.sources.tables import bare_name, in_order
 
 
 def sorted_peaks(mz: Column, intensity: Column) -> Column:
@@ -42,8 +42,11 @@ def read_spectra(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unique_scans(df: DataFrame) -> DataFrame:
-    twice = F.count(F.lit(1)).over(Window.partitionBy("scan_number")) > 1
-    return df.withColumn("__ok", F.when(twice, F.raise_error(F.concat(F.lit("scan comes twice: "), F.col("scan_number").cast("string"))).cast("boolean")).otherwise(True)).where("__ok").drop("__ok")
+    """``df``, or an error if a scan comes twice: scan numbers alone are counted, peaks stay where they are."""
+    twice = df.groupBy("scan_number").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"scan comes twice: {twice[0]['scan_number']}")
+    return df
 
 
 def peaks_long(spectra: DataFrame, key: str = "scan_number") -> DataFrame:
@@ -51,13 +54,17 @@ def peaks_long(spectra: DataFrame, key: str = "scan_number") -> DataFrame:
 
 
 def read_mgf(spark: SparkSession, path: str, dropped: list | None = None) -> DataFrame:
-    """identifier, scans, precursor_mz, precursor_charge, retention_time, mz_array, intensity_array; file order in ``__order``.
+    """identifier, scans, precursor_mz, precursor_charge, retention_time, mz_array, intensity_array; file order (file, split, place) in ``__order``.
 
     Text is split at END IONS, so a plain file is read in parallel. Of a block counts what follows its last
     BEGIN IONS; a last block without END IONS counts too. Peak lines need two numbers, others are dropped; so are blocks without a header or peak line.
     With ``dropped``, a list, (lines, blocks) dropped are counted and appended.
     """
-    blocks = spark.read.text(path, lineSep="END IONS").withColumn("__order", F.monotonically_increasing_id())
+    return mgf_spectra(in_order(spark.read.text(path, lineSep="END IONS")), dropped)
+
+
+def mgf_spectra(blocks: DataFrame, dropped: list | None = None) -> DataFrame:
+    """Spectra of MGF blocks (value, __order)."""
     body = F.regexp_extract(F.regexp_replace("value", "\r", ""), r"(?is)^(?:.*\n)?\s*BEGIN IONS[ \t]*\n(.*)$", 1)
     lines = F.filter(F.transform(F.split(body, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     df = blocks.select("__order", (F.trim(F.regexp_replace("value", r"\s", "")) == "").alias("blank"), lines.alias("lines"))
@@ -152,6 +159,7 @@ def read_observed(spark: SparkSession, path: str, id_pattern: str | None = None,
         df = read_mgf(spark, path, dropped)
     elif name.endswith(".mzml"):
         spark.dataSource.register(MzmlSource)
+        # a file is a partition, in the order of the list, and is read from its start
         df = spark.read.format("mzml").load(path).withColumn("__order", F.monotonically_increasing_id())
     else:
         raise ValueError(f"spectra of {path}: neither .mgf nor .mzML")

@@ -9,6 +9,15 @@ from spectrail.operators.lookup import Store
 from spectrail.schemas import REQUIRED, ROW_ID, require
 
 
+def endings(parquet: str, *texts: str) -> tuple[str, ...]:
+    """File endings in the order in which they are looked for: Parquet first, then text, each kind compressed before plain."""
+    return (f".{parquet}.parquet", *(f".{t}{z}" for t in texts for z in (".gz", "")))
+
+
+#: Of match tables (PIN in Parquet, PIN text, any tab-separated text) and of spectra.
+MATCH_ENDINGS, SPECTRUM_ENDINGS = endings("pin", "pin.tsv", "pin", "tsv"), endings("mgf", "mgf")
+
+
 def bare_name(path: str) -> str:
     """File name without ``.gz``."""
     return path.rstrip("/").rpartition("/")[2].removesuffix(".gz")
@@ -42,7 +51,7 @@ def _parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 #: Columns of a PIN text that are never read as numbers.
-TEXT_COLUMNS = ("SpecId", "Peptide", "Proteins")
+TEXT_COLUMNS = ("SpecId", "Peptide", "Proteins", "spectrum_id", "peptidoform")
 
 
 def _text(spark: SparkSession, path: str) -> DataFrame:
@@ -51,8 +60,7 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     names = header[0].rstrip("\r\n").split("\t") if header else []
     if not names:
         raise ValueError(f"{path} is empty")
-    # one gzip is one split; of plain text the splits are in file order, and ids grow with both
-    rows = lines.withColumn("__order", F.monotonically_increasing_id()).where(F.col("value") != header[0])
+    rows = in_order(lines, header[0])
     parts = F.split(F.regexp_replace("value", "\r$", ""), "\t", len(names))
     rows = rows.select("__order", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)))
     numbers = [c for c in names if c not in TEXT_COLUMNS]
@@ -63,19 +71,30 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     return _numbered(rows)
 
 
+def in_order(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """Lines of text files without the header's, with ``__order``: file, split of it, and a number that grows along the split, whatever task reads it."""
+    rows = lines.select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    rows = rows if header is None else rows.where(F.col("value") != header)
+    return rows.withColumn("__order", F.struct("__file", "__block", F.monotonically_increasing_id().alias("__line"))).drop("__file", "__block")
+
+
 def _numbered(rows: DataFrame) -> DataFrame:
-    """Gapless numbers in the order of ``__order``, whose upper bits are the partition: counts per partition, no global sort."""
-    part = F.shiftrightunsigned("__order", 33)
-    counts = rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("__order").alias("first")).orderBy("p").collect()  # one row a partition
-    if len(counts) <= 1:
-        first = counts[0]["first"] if counts else 0
-        return rows.withColumn(ROW_ID, F.col("__order") - F.lit(first)).drop("__order")
+    """Gapless numbers in the order of ``__order``: counts by split, no global sort."""
+    split = [F.col("__order.__file").alias("f"), F.col("__order.__block").alias("b")]
+    counts = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("__order.__line").alias("first")).orderBy("f", "b").collect()  # one row a split
     starts, before = [], 0
     for r in counts:
-        starts.append((r["p"], before, r["first"]))
+        starts.append((r["f"], r["b"], before, r["first"]))
         before += r["n"]
-    small = F.broadcast(rows.sparkSession.createDataFrame(starts, "p long, before long, first long"))
-    return rows.join(small, part == F.col("p")).withColumn(ROW_ID, F.col("before") + F.col("__order") - F.col("first")).drop("__order", "p", "before", "first")
+    small = F.broadcast(rows.sparkSession.createDataFrame(starts, "f string, b long, before long, first long"))
+    rows = rows.join(small, (F.col("__order.__file") == F.col("f")) & (F.col("__order.__block") == F.col("b")))
+    return rows.withColumn(ROW_ID, F.col("before") + F.col("__order.__line") - F.col("first")).drop("__order", "f", "b", "before", "first")
+
+
+def read_psms(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (spectrum_id, peptidoform) of Parquet or tab-separated text with a header, numbered in file order."""
+    df = _parquet(spark, path) if bare_name(path).endswith(".parquet") else _text(spark, path)
+    return require(df, ("spectrum_id", "peptidoform"), f"the table {path}")
 
 
 STORE_TABLES = ("peptide", "variant", "prediction")
@@ -100,8 +119,8 @@ def jdbc_store(spark: SparkSession, url: str, schema: str, user: str, password_f
         full = f"{schema}.{name}"
         if column:
             ends = reader.option("query", f"SELECT min({column}) AS a, max({column}) AS b FROM {full}").load().first()
-            if ends["a"] is not None:
-                reader = spark.read.format("jdbc").options(**options, partitionColumn=column, lowerBound=str(ends["a"]), upperBound=str(ends["b"] + 1), numPartitions=str(partitions))
+            if ends[0] is not None:
+                reader = spark.read.format("jdbc").options(**options, partitionColumn=column, lowerBound=str(ends[0]), upperBound=str(ends[1] + 1), numPartitions=str(partitions))
             else:
                 reader = spark.read.format("jdbc").options(**options)
         return reader.option("dbtable", full).load()
