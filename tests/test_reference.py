@@ -108,10 +108,12 @@ def test_features_at_random(spark):
         ions = ["b"] * n_b + ["y"] * n_y
         rows += [(k, i, float(a), float(b)) for i, a, b in zip(ions, x, y, strict=True)]
         want[k] = feature_values(x, y, np.array(ions))
-    got = similarity.similarity(spark.createDataFrame(rows, "k int, ion string, predicted double, observed double"), ["k"]).collect()
-    assert len(got) == len(want)
-    for row in got:
-        assert row.asDict() == pytest.approx(want[row.k] | {"k": row.k}, abs=1e-7)
+    df = spark.createDataFrame(rows, "k int, ion string, predicted double, observed double")
+    for way in (similarity.similarity, similarity.native_similarity):
+        got = way(df, ["k"]).collect()
+        assert len(got) == len(want)
+        for row in got:
+            assert row.asDict() == pytest.approx(want[row.k] | {"k": row.k}, abs=1e-7)
 
 
 def test_store(spark):
