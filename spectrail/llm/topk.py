@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from spectrail.llm._shared import table
 
-#: Vectors in a candidate block, queries in a query block, dimensions in a step.
-BLOCK, QUERY_BLOCK, STEP = 2048, 1024, 16
+#: Vectors in a candidate block, queries in a tile, dimensions in a step; bytes of the queries that one task holds.
+BLOCK, TILE, STEP, QUERY_BYTES = 2048, 1024, 16, 32 << 20
 #: Below this share of survivors the pairs are compacted and finished one by one.
 COMPACT = 0.08
 
@@ -24,19 +24,21 @@ def quantised(vector: Column) -> Column:
     return F.when(vector.isNotNull() & sound, F.transform(vector, lambda x: F.floor(x.cast("double") * 256.0).cast("double")))
 
 
-def top_k_inner_product(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def top_k_inner_product(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, tile: int = TILE, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """The k rows of largest integer inner product with each query row, ties to the smaller id.
 
     Vectors are quantised, dealt by hash into candidate blocks of about ``block`` rows and
-    laid out dimension by dimension. Queries likewise form blocks. Every query block meets
-    every candidate block (the stated query set against all rows); a task streams the
-    candidate blocks of its share past one query block. It adds up inner products ``STEP``
+    laid out dimension by dimension. Queries likewise form tiles, and as many tiles as have ``query_bytes`` a query
+    block. Every query block meets every candidate block (the stated query set against all rows); a task streams the
+    candidate blocks of its share past one query block, so the candidates are sent once for each ``query_bytes`` of
+    queries. It adds up inner products ``STEP``
     dimensions at a time and after each step drops the pairs whose score so far plus the
     largest possible rest (the product of the remaining norms) can't reach the query's
     k-th best score; few survivors are compacted into a list of pairs and finished there.
-    Bounds carry rounding slack and ties survive, so the answer is exact.
+    Bounds carry rounding slack and ties survive, so the answer is exact. A candidate block whose largest norm can't
+    reach any query's k-th best score is passed over.
 
-    Memory of a task: one query block, one candidate block and their scores. The emitted
+    Memory of a task: one query block, one candidate block and the scores of a tile. The emitted
     rows are k for each query and share. Nothing is broadcast.
 
     Null vectors and those with null or non-finite components take no part. Vectors meet
@@ -47,8 +49,8 @@ def top_k_inner_product(rows: DataFrame, is_query: Column, k: int, id_col: str =
     spark = rows.sparkSession
     base = rows.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     base = base.where(F.col("v").isNotNull() & F.col("id").isNotNull())
-    n, n_queries = base.agg(F.count(F.lit(1)), F.sum(F.col("q").cast("long"))).first()
-    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-(n_queries or 0) // query_block))
+    n, n_queries, size = base.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    blocks, tiles, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // tile)), max(1, -(-n_queries * 4 * size // query_bytes))
     # as many shares of the candidates as keep the cluster busy, one if the query blocks do that
     shares = max(1, min(blocks, -(-2 * spark.sparkContext.defaultParallelism // query_blocks)))
     hashed = F.xxhash64("id", "v")
@@ -59,9 +61,9 @@ def top_k_inner_product(rows: DataFrame, is_query: Column, k: int, id_col: str =
         .withColumn("share", F.col("cb") % shares).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     )
     queries = (
-        base.where("q").select("id", "v", F.size("v").alias("dim"), F.pmod(hashed, F.lit(query_blocks)).cast("int").alias("cb")).distinct()
+        base.where("q").select("id", "v", F.size("v").alias("dim"), F.pmod(hashed, F.lit(tiles)).cast("int").alias("cb")).distinct()
         .groupBy("dim", "cb").applyInPandas(_packed(0), "dim int, kind int, cb int, n int, ids binary, vectors binary")
-        .withColumn("qb", F.col("cb")).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        .withColumn("qb", F.col("cb") % query_blocks).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
     names = [c.split()[0] for c in pack.split(", ")]
     pairs = candidates.select(names).unionByName(queries.select(names))
@@ -76,26 +78,28 @@ def _packed(kind: int):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(pdf["id"].to_numpy(), kind="stable")
         vertical = np.ascontiguousarray(np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), -1)[order].T)
+        if np.abs(vertical).max(initial=0) < 2**24:  # whole numbers that 32 bits hold
+            vertical = vertical.astype(np.float32)
         return pd.DataFrame({"dim": [int(pdf["dim"].iloc[0])], "kind": [kind], "cb": [int(pdf["cb"].iloc[0])], "n": [len(pdf)], "ids": [pdf["id"].to_numpy(np.int64)[order].tobytes()], "vectors": [vertical.tobytes()]})
 
     return pack
 
 
 def _search(it: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    state, key = None, None
+    tiles, key = [], None
     for pdf in it:
         for row in pdf.itertuples(index=False):
-            ids, vectors = np.frombuffer(row.ids, np.int64), np.frombuffer(row.vectors, np.float64).reshape(row.dim, row.n)
+            kind = np.float32 if len(row.vectors) == 4 * row.dim * row.n else np.float64
+            ids, vectors = np.frombuffer(row.ids, np.int64), np.frombuffer(row.vectors, kind).reshape(row.dim, row.n)
             if key != (row.dim, row.qb, row.share):
-                if state:
-                    yield state.result()
-                state, key = None, (row.dim, row.qb, row.share)
+                yield from (t.result() for t in tiles)
+                tiles, key = [], (row.dim, row.qb, row.share)
             if row.kind == 0:
-                state = Best(ids, vectors, k)
-            elif state:
-                state.meet(ids, vectors)
-    if state:
-        yield state.result()
+                tiles.append(Best(ids, vectors, k))
+            else:
+                for t in tiles:
+                    t.meet(ids, vectors)
+    yield from (t.result() for t in tiles)
 
 
 class Best:
@@ -103,15 +107,20 @@ class Best:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, step: int = STEP):
         self.ids, self.q, self.k, self.step = ids, vectors, k, step
+        self.norm = np.sqrt(np.einsum("ij,ij->j", self.q.astype(np.float64), self.q.astype(np.float64)))
         self.score: list[np.ndarray] = [np.zeros(0)] * len(ids)
         self.found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
         self.least = np.full(len(ids), -np.inf)
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         d = len(vectors)
-        reach = float(np.sqrt(np.einsum("ij,ij->j", self.q, self.q)).max(initial=0)) * float(np.sqrt(np.einsum("ij,ij->j", vectors, vectors)).max(initial=0))
+        wide = vectors.astype(np.float64)
+        top = float(np.sqrt(np.einsum("ij,ij->j", wide, wide)).max(initial=0))
+        reach = float(self.norm.max(initial=0)) * top
         if reach >= 2**52:
             return self._large(ids, vectors)
+        if len(self.ids) and (self.least > self.norm * top * (1 + 1e-9) + 1e-3).all():
+            return None
         kind = np.float32 if reach < 2**23 else np.float64
         q, v = self.q.astype(kind), vectors.astype(kind)
         cuts = list(range(0, d, self.step)) + [d]
@@ -124,8 +133,8 @@ class Best:
                 score = score + np.einsum("ij,ij->j", q[a:b][:, qi], v[a:b][:, ci])
             if b == d:
                 break
-            rest_q = np.sqrt(np.einsum("ij,ij->j", self.q[b:], self.q[b:]))
-            rest_v = np.sqrt(np.einsum("ij,ij->j", vectors[b:], vectors[b:]))
+            rest_q = np.sqrt(np.einsum("ij,ij->j", self.q[b:], self.q[b:], dtype=np.float64))
+            rest_v = np.sqrt(np.einsum("ij,ij->j", wide[b:], wide[b:]))
             if pairs is None:
                 # slack: the bound is a rounded product, the scores are exact integers
                 need = self.least[:, None] - rest_q[:, None] * rest_v[None, :] * (1 + 1e-9) - 1e-3
@@ -140,6 +149,7 @@ class Best:
             qi, ci = np.nonzero(total >= self.least[:, None])
             score = total[qi, ci]
         self._keep(qi, ids[ci], score.astype(np.float64))
+        return None
 
     def _keep(self, qi: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         fit = (score >= self.least[qi]) & (ids != self.ids[qi])
@@ -173,7 +183,7 @@ class Best:
 
     def result(self) -> pd.DataFrame:
         sizes = [len(x) for x in self.found]
-        key = [int.from_bytes(hashlib.blake2b(c.tobytes(), digest_size=8).digest(), "little", signed=True) for c in np.ascontiguousarray(self.q.T)]
+        key = [int.from_bytes(hashlib.blake2b(c.tobytes(), digest_size=8).digest(), "little", signed=True) for c in np.ascontiguousarray(self.q.T.astype(np.float64))]
         score = [int(s) for x in self.score for s in x]
         return pd.DataFrame({"query_id": np.repeat(self.ids, sizes), "qkey": np.repeat(np.array(key, np.int64), sizes), "id": np.concatenate([*self.found, np.zeros(0, np.int64)]).astype(np.int64), "score": np.array(score, np.int64)})
 

@@ -40,7 +40,7 @@ def test_top_k(spark, scale):
     data = [(i, [float(x) for x in v], 1) for i, v in enumerate(vectors)]
     data += [(150, None, 1), (151, [float("nan")] * 20, 1), (152, [None] * 20, 1), (153, [1.0, 2.0], 1), (200, [0.5] * 20, 2)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
-    got = topk.top_k_inner_product(df, F.col("vec_id") % 50 == 0, 5, block=32, query_block=2)
+    got = topk.top_k_inner_product(df, F.col("vec_id") % 50 == 0, 5, block=32, tile=2, query_bytes=200)
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
     whole = {i: [int(np.floor(256 * x)) for x in v] for i, v, _ in data if v and all(x is not None and np.isfinite(x) for x in v)}
     want = {}
