@@ -31,17 +31,32 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of this driver's tables, until ``clear``.
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back: lineage ends there.
 
-    The files outlive any executor, so a later stage never recomputes ``df``.
+    The files outlive any executor, so a later stage never recomputes ``df``. They stay until ``clear``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that operators have written so far, once their results are used; how many there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -71,6 +71,16 @@ def test_token_files(spark):
     assert token_files.read_token_files(token_files.write_token_files(df.limit(0), fresh_path(spark, "tok"), path, 2)).count() == 0
 
 
+def test_intermediate_tables(spark):
+    import os
+
+    from spectrail.llm import _shared
+
+    _shared.clear(spark)
+    path = _shared.written(spark.range(5), "numbers").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and _shared.clear(spark) == 1 and not os.path.exists(path) and _shared.clear(spark) == 0
+
+
 def test_damaged_frame(tmp_path):
     w = token_files.FrameWriter(f"{tmp_path}/a.tok", 2)
     w.add(np.array([1]), np.arange(100, dtype=np.uint32), np.array([0, 100]))
