@@ -357,6 +357,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     within = within.select("k1", "k2", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"), "owner")
     within = within.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "owner", "from").mapInArrow(_merged, "k1 long, k2 long, `from` int, `to` int, owner long")
     lost = within.groupBy("k1", "k2").agg(F.collect_set(F.struct("from", "to", "owner")).alias("spans"))  # bounded by a text's length
+    lost = written(lost, "lost")  # so that the join with a text's many copies is one that Spark can split
     cut = passages.where("p1 is null").select("doc_id", "k1", "k2").join(lost, ["k1", "k2"])
     cut = cut.withColumn("spans", F.filter("spans", lambda s: s["owner"] < F.col("doc_id"))).where(F.size("spans") > 0)
     cut = written(cut.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2", "spans")).alias("cuts")), "cuts")
