@@ -84,4 +84,5 @@ def summary(correlations: DataFrame) -> str:
 
 def write_results(correlations: DataFrame, path: str) -> str:
     """One JSON list of (psm_index, correlation, n_b_ions, n_y_ions) in row order."""
-    return sinks.write_json_list(correlations.withColumnRenamed(ROW_ID, "psm_index"), path, "psm_index")
+    rows = correlations.select(F.col(ROW_ID).alias("psm_index"), "correlation", "n_b_ions", "n_y_ions")
+    return sinks.write_json_list(rows, path, "psm_index")

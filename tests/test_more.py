@@ -63,8 +63,11 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{tmp_path}/ions").groupBy(ROW_ID).count().orderBy(ROW_ID).collect() == [(0, 3), (1, 3)]
     cli.main(["predict-single", "PEPK/2", "--predictor", "tests.test_more:small_predictor", "--device", "cpu"], spark)
     assert capsys.readouterr().out.splitlines() == ["b: 1 positions, 1 ions"]
-    with pytest.raises(SystemExit):
-        cli.main(["predict-single", "PEPK/2"], spark)
+    cli.main(["predict-single", "PEPK/2", "--predictor", "tests.test_more:small_predictor", "--output", f"{tmp_path}/one.json"], spark)
+    assert json.loads((tmp_path / "one.json").read_text()) == [{"psm_index": 0, "correlation": None, "n_b_ions": 1, "n_y_ions": 0}]
+    for wrong in (["predict-single", "PEPK/2"], ["predict-single", "PEPK/2", "--batch-size", "0"]):
+        with pytest.raises(SystemExit):
+            cli.main(wrong, spark)
 
 
 def small_predictor(device, batch_size):
