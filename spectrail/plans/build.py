@@ -32,6 +32,12 @@ def augment(rows: DataFrame, run_id: str) -> DataFrame:
     })
 
 
+def with_observed_times(rows: DataFrame, observed: DataFrame) -> DataFrame:
+    """Adds the retention time of each row's spectrum, 0 where there is none; no row is lost or doubled."""
+    times = observed.select(F.col("scan_number").alias("__scan"), F.col("rt_seconds").alias("observed_retention_time"))
+    return rows.join(times, F.col("ScanNr").cast("long") == F.col("__scan"), "left").drop("__scan").fillna(0.0, subset=["observed_retention_time"])
+
+
 def packed(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("precursor_key").agg(F.collect_list(F.struct("ion", F.col("row").cast("int").alias("row"), F.col("frag_charge").cast("int").alias("frag_charge"), F.col("mz").cast("float").alias("mz"), F.col("predicted").cast("double").alias("predicted"))).alias("fragments"))
 
@@ -117,8 +123,7 @@ def _features(spark: SparkSession, config: BuildConfig, store: Store | None, loc
         raise ValueError("retention times need the column Xcorr")
     observed = spectra.read_spectra(spark, config.spectra)
     rows = augment(pin, config.run_id)
-    rows = rows.join(observed.select(F.col("scan_number").alias("__scan"), F.col("rt_seconds").alias("observed_retention_time")), F.col("ScanNr").cast("long") == F.col("__scan"), "left").drop("__scan").fillna(0.0, subset=["observed_retention_time"])
-    rows = _held(rows, f"{config.cache_dir}/rows")
+    rows = _held(with_observed_times(rows, observed), f"{config.cache_dir}/rows")
     at = lambda name, key, schema: cache.Cache(spark, f"{config.cache_dir}/{name}", key, schema, config.fingerprint)
     spectral, clock, precursor = at("spectral_features", "psm_key", _SPECTRAL), at("rt_features", "psm_key", _TIMES), at("precursors", "precursor_key", _PRECURSORS)
     say(f"{config.run_id}: rows read, scoring what the caches lack")

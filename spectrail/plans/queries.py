@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spectrail.functions import peptide, text
 from spectrail.operators import cache, lookup, match, modifications, retention, similarity
 from spectrail.plans import build, correlate
+from spectrail.plans.predictors import TableFragments
 from spectrail.schemas import FEATURES, ROW_ID, RT_BEST, RT_FEATURES, SPECTRAL_FEATURES
 from spectrail.sources import sinks, spectra, tables
 
@@ -438,6 +439,48 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("psm_key").alias("o_orderkey"), six("spec_mse_norm", "spec_mse_norm"), six("dotprod_iony_norm", "dotprod_iony_norm"))
 
 
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+def last_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectra.last_of_each(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id")
+
+
+@query("SELECT o_orderkey, coalesce(c_acctbal, 0) AS observed_retention_time FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey")
+def observed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    observed = table(spark, sf_dir, "customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("scan_number"), F.col("c_acctbal").alias("rt_seconds"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("ScanNr"))
+    return build.with_observed_times(rows, observed).select("o_orderkey", "observed_retention_time")
+
+
+@query("""SELECT p_partkey, round(p_retailprice, 2) AS price, CASE WHEN p_partkey % 3 = 0 THEN 'NA' ELSE p_brand END AS "Peptide",
+  p_name || CASE WHEN p_partkey % 2 = 0 THEN chr(9) || p_type || chr(9) || p_size ELSE '' END AS "Proteins" FROM part""")
+def pin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.expr("concat_ws('\t', p_partkey, round(p_retailprice, 2), CASE WHEN p_partkey % 3 = 0 THEN 'NA' ELSE p_brand END, p_name, CASE WHEN p_partkey % 2 = 0 THEN concat(p_type, '\t', p_size) END, CASE WHEN p_partkey % 2 = 0 THEN '\r' END)")
+    lines = table(spark, sf_dir, "part").select(F.regexp_replace(line, "\t\r$", "\r").alias("value"), F.col("p_partkey").alias("__order"))
+    got = tables.text_rows(lines, ["p_partkey", "price", "Peptide", "Proteins"])
+    return got.select("p_partkey", F.round("price", 2).alias("price"), "Peptide", "Proteins")
+
+
+@query("SELECT o_orderkey, c_custkey % 2 AS row_number, round(c_acctbal, 2) AS mz FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 5 <> 0")
+def predicted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    psms = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias(ROW_ID), F.lit("s").alias("spectrum_id"), F.expr("translate(CAST(o_custkey AS STRING), '0123456789', 'ACDEFGHIKL') || 'K/2'").alias("peptidoform"))
+    ions = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select(F.expr(f"{_LETTERS} || 'K/2'").alias("precursor_key"), F.lit("b").alias("ion"), (F.col("c_custkey") % 2).alias("row"), F.lit(1).alias("frag_charge"), F.col("c_acctbal").alias("mz"), F.lit(0.5).alias("predicted"))
+    return correlate.predict(psms, TableFragments(ions)).select(F.col(ROW_ID).alias("o_orderkey"), F.col("row").alias("row_number"), F.round("mz", 2).alias("mz"))
+
+
+@query("""WITH peaks AS (SELECT user_id, value AS mz, max(event_id) AS hi, min(event_id) AS lo FROM events GROUP BY ALL),
+ions AS (SELECT o_orderkey, o_custkey % 160 AS scan, abs(o_totalprice % 190) + 0.5::DOUBLE AS mz FROM orders),
+a AS (SELECT i.*, p.mz AS low, p.hi AS low_id FROM ions i ASOF LEFT JOIN peaks p ON p.user_id = i.scan AND i.mz > p.mz),
+b AS (SELECT a.*, p.mz AS high, p.lo AS high_id FROM a ASOF LEFT JOIN peaks p ON p.user_id = a.scan AND a.mz <= p.mz)
+SELECT o_orderkey, round(CASE WHEN scan NOT IN (SELECT user_id FROM events) THEN NULL WHEN low IS NULL OR high IS NULL THEN 0.0::DOUBLE WHEN mz - low <= high - mz AND mz - low < 0.5::DOUBLE THEN log2(low_id % 1000 + 1 + 0.001::DOUBLE)
+  WHEN high - mz < mz - low AND high - mz < 0.5::DOUBLE THEN log2(high_id % 1000 + 1 + 0.001::DOUBLE) ELSE 0.0::DOUBLE END, 6) AS observed FROM b""")
+def attach_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed intensities by spectrum identifier; null where the spectrum is missing."""
+    peak = F.struct(F.col("value").alias("mz"), F.col("event_id").alias("peak_index"), (F.col("event_id") % 1000 + 1).cast("double").alias("intensity"))
+    observed = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("scan%20"), F.col("user_id").cast("string")).alias("identifier")).agg(F.collect_list(peak).alias("peaks")).withColumn("identifier", text.normal_id(F.col("identifier")))
+    ions = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("scan "), (F.col("o_custkey") % 160).cast("string")).alias("spectrum_id"), (F.abs(F.col("o_totalprice") % 190) + 0.5).alias("mz"))
+    return correlate.attach(ions, observed, 0.5).select("o_orderkey", F.round("observed", 6).alias("observed"))
+
+
 # --- caches
 
 
@@ -492,6 +535,17 @@ def best_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("event_id", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in RT_BEST))
 
 
+@query("""WITH d AS (SELECT event_id, CASE WHEN user_id % 7 <> 0 THEN user_id END AS user_id, value::FLOAT AS o, CASE WHEN event_id % 11 <> 0 THEN (value + (event_id % 9 - 4) * 0.5::DOUBLE)::FLOAT END AS p FROM events),
+e AS (SELECT event_id, user_id, o, coalesce(p, 0::FLOAT) AS p, coalesce(abs(p - o), 0::FLOAT) AS d FROM d),
+b AS (SELECT user_id, first(p ORDER BY d, event_id) AS bp, first(d ORDER BY d, event_id) AS bd FROM e WHERE user_id IS NOT NULL GROUP BY user_id)
+SELECT event_id, round(bp::DOUBLE, 4) AS predicted_retention_time_best, round(bd::DOUBLE, 4) AS rt_diff_best FROM e LEFT JOIN b USING (user_id)""")
+def best_of_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a peptide have no best row; missing times count as 0 before the best one is chosen."""
+    rows = timed(spark, sf_dir).withColumns({"Peptide": F.when(F.col("Peptide").cast("long") % 7 != 0, F.col("Peptide")), "predicted_retention_time": F.when(F.col("event_id") % 11 != 0, F.col("predicted_retention_time"))})
+    got = retention.best_per_peptide(retention.base_features(rows))
+    return got.select("event_id", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in RT_BEST[1:]))
+
+
 # --- assembly
 
 

@@ -164,5 +164,10 @@ def read_observed(spark: SparkSession, path: str, id_pattern: str | None = None,
     else:
         raise ValueError(f"spectra of {path}: neither .mgf nor .mzML")
     df = df.withColumn("identifier", normal_id(F.col("identifier"), id_pattern))
-    last = F.row_number().over(Window.partitionBy("identifier").orderBy(F.desc("__order")))
-    return _pack(df.withColumn("__n", last).where("__n = 1"), "identifier", "precursor_mz", "precursor_charge", "retention_time")
+    return _pack(last_of_each(df, "identifier"), "identifier", "precursor_mz", "precursor_charge", "retention_time")
+
+
+def last_of_each(df: DataFrame, key: str, order: str = "__order") -> DataFrame:
+    """The last row of each key."""
+    last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
+    return df.withColumn("__n", last).where("__n = 1").drop("__n")

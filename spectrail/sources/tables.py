@@ -60,7 +60,11 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     names = header[0].rstrip("\r\n").split("\t") if header else []
     if not names:
         raise ValueError(f"{path} is empty")
-    rows = in_order(lines, header[0])
+    return _numbered(text_rows(in_order(lines, header[0]), names))
+
+
+def text_rows(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Lines (value, __order) as typed columns: tabs beyond the last name stay in its column; numbers where every value is one."""
     parts = F.split(F.regexp_replace("value", "\r$", ""), "\t", len(names))
     rows = rows.select("__order", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)))
     numbers = [c for c in names if c not in TEXT_COLUMNS]
@@ -68,7 +72,7 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     kinds = rows.agg(*(v.alias(f"l{i}") for i, v in enumerate(whole.values())), *(v.alias(f"d{i}") for i, v in enumerate(real.values()))).first() if numbers else None
     cast = {c: "long" if kinds[f"l{i}"] else "double" if kinds[f"d{i}"] else "string" for i, c in enumerate(numbers)}
     rows = rows.select("__order", *(F.col(f"`{c}`").try_cast(cast[c]).alias(c) if cast.get(c, "string") != "string" else F.col(f"`{c}`") for c in names))
-    return _numbered(rows)
+    return rows
 
 
 def in_order(lines: DataFrame, header: str | None = None) -> DataFrame:
