@@ -60,12 +60,13 @@ def correlate(psms: DataFrame, observed: DataFrame, predictor: FragmentPredictor
     """(row id, correlation, n_b_ions, n_y_ions); null correlation where the spectrum is missing.
 
     One aggregate by row gives correlation, counts and whether any ion met a peak. The warning about few matches
-    is an action of its own over the same plan; ``warn=False`` leaves it out.
+    is an action of its own, whose narrow result is persisted for those that follow; ``warn=False`` leaves both out.
     """
     ions = attach(predict(psms, predictor, mods), observed, tolerance, id_pattern).where("mz > 0")
     hit = F.max((F.col("observed") > 0).cast("int")).alias("hit")
     per = similarity.correlation(ions, [ROW_ID], hit, *(F.count_if(F.col("ion") == i).alias(f"n_{i}_ions") for i in "by"))
     if warn:
+        per = per.persist()
         got = per.agg(F.coalesce(F.sum("hit"), F.lit(0)).alias("matched"), F.count(F.lit(1)).alias("total")).first()
         if got["total"] and got["matched"] / got["total"] < EXPECTED:
             warnings.warn(f"only {got['matched']} of {got['total']} results match a peak", RuntimeWarning, stacklevel=2)
