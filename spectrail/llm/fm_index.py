@@ -5,6 +5,10 @@ from __future__ import annotations
 import numpy as np
 
 
+#: The bits below each place of a word.
+_BELOW = np.array([(1 << i) - 1 for i in range(64)], np.uint64)
+
+
 class Bits:
     """A bit vector with constant-time rank: packed words and a count before each."""
 
@@ -19,8 +23,7 @@ class Bits:
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before each position."""
         word = i >> 6
-        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & low)
+        return self.before[word] + np.bitwise_count(self.words[word] & _BELOW[i & 63])
 
 
 class WaveletMatrix:
@@ -65,7 +68,13 @@ class FMIndex:
         # symbol 0 is the end of the text; the empty suffix, which starts there, has a row too
         text = np.append(text.astype(np.int64) + 1, 0)
         n, sigma = len(text), int(text.max()) + 1
-        rank, known = text + 1, 1
+        # as many symbols at once as fit into a number, then twice as many in each round
+        bits = int(sigma + 1).bit_length()
+        together = max(1, min(depth, 62 // bits))
+        rank, known = np.zeros(n, np.int64), together
+        for i in range(together):
+            rank[: n - i] |= (text[i:] + 1) << bits * (together - 1 - i)
+        rank = np.unique(rank, return_inverse=True)[1] + 1
         while known < depth:
             follow = np.zeros(n, np.int64)
             follow[: max(0, n - known)] = rank[known:]
@@ -97,9 +106,9 @@ class FMIndex:
         """
         reached = np.zeros(len(ends), np.int64)
         live = np.arange(len(ends))
-        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64)
         for step in range(1, threshold + 1):
-            low, high = self.extend(stream[ends[live] - step], low, high)
+            symbol = stream[ends[live] - step]
+            low, high = self.extend(symbol, low, high) if step > 1 else (self.count[symbol + 1], self.count[symbol + 2])
             more = high - low > 1
             live, low, high = live[more], low[more], high[more]
             reached[live] = step

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spectrail.llm._idfilter import MOST_IDS, IdFilter, may_hold
 from spectrail.llm._shared import table, written
-from spectrail.llm._text import Words, digest, gram_hash, halves, ranges, signed, slices
+from spectrail.llm._text import Words, digest, gram_hash, halves, ranges, signed, slices, text_bytes
 from spectrail.llm.fm_index import FMIndex
 
 #: Words of a window; words of the grams of which the least-hashed one anchors a window.
@@ -82,10 +82,10 @@ def _anchors(window: int, gram: int):
         seen = Seen()
         for whole in batches:
             for batch in slices(whole, "text"):
-                words = Words(batch.column("text"), lower=False)
-                joined, start, end = words.joined()
-                ids = batch.column("doc_id").to_numpy()
-                new = np.array([seen.meet(k, d) for k, d in zip(text_digests(words, memoryview(joined), start, end), ids.tolist(), strict=True)], np.int64)
+                words, ids = Words(batch.column("text"), lower=False), batch.column("doc_id").to_numpy()
+                data, offsets = text_bytes(batch.column("text"))
+                raw, at = memoryview(data), offsets.tolist()
+                new = np.array([seen.meet(digest(raw[a:b]), d) for a, b, d in zip(at, at[1:], ids.tolist(), strict=False)], np.int64)
                 doc, anchor, _, _ = anchored_runs(words, window, gram)
                 take = new[doc] != KNOWN
                 anchor, doc_id = signed(anchor[take]), ids[doc[take]]
