@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,7 +25,7 @@ class BuildConfig:
     recalibrate: bool = False
     #: One gzipped file, or a folder of its members.
     single_file: bool = True
-    #: Rows cached under other settings count as missing; off: keys alone decide.
+    #: Rows cached for other contents of the inputs, settings, stores or predictors count as missing; off: keys alone decide.
     fingerprint_caches: bool = False
 
     def __post_init__(self) -> None:
@@ -33,9 +35,9 @@ class BuildConfig:
     def output(self) -> str:
         return f"{self.out_dir}/{self.run_id}.rescore.pin.gz"
 
-    @property
-    def fingerprint(self) -> str | None:
-        return f"{self.match_table}|{self.spectra}|{self.tolerance!r}" if self.fingerprint_caches else None
+    def fingerprint(self, *facts: Any) -> str | None:
+        """A digest of what a cache's rows depend on; None where keys alone decide."""
+        return hashlib.sha256(json.dumps(facts, sort_keys=True, default=str).encode()).hexdigest() if self.fingerprint_caches else None
 
 
 @dataclass(slots=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,8 @@ class Cache:
 
     def __init__(self, spark: SparkSession, path: str, key: str, schema: str, fingerprint: str | None = None):
         self.spark, self.path, self.key, self.schema, self.fingerprint = spark, path.rstrip("/"), key, schema, fingerprint
+        #: Rows of the last ``append`` or ``write``, counted while they were written.
+        self.added = 0
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -74,8 +76,9 @@ class Cache:
         return df.drop("fingerprint")
 
     def _put(self, df: DataFrame, kind: str, number: int) -> str:
-        name = f"{kind}{number:08d}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{name}")
+        name, counted = f"{kind}{number:08d}-{uuid.uuid4().hex}", Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path}/{name}")
+        self.added = counted.get["n"]
         return name
 
     def _next(self, folders: list[tuple[int, str, str]]) -> int:
@@ -92,11 +95,13 @@ class Cache:
     def append(self, df: DataFrame) -> DataFrame:
         """Adds rows whose keys the cache lacks, each once; writes nothing if there are none."""
         name = self._put(self._marked(df), "add", self._next(self._folders()))
-        if self.spark.read.parquet(f"{self.path}/{name}").isEmpty():
+        if not self.added:
             self._delete([name])
         folders = self._folders()
         if sum(n[:3] == "add" for n in self._current(folders)) >= self.COMPACT:
+            added = self.added
             self.compact()
+            self.added = added
         return self.read()
 
     def write(self, df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from spectrail.schemas import OFFSET, SCOPES
 
@@ -107,6 +108,53 @@ def _features(x: np.ndarray, y: np.ndarray, is_b: np.ndarray, size: np.ndarray)
     return out
 
 
+def observed_values(mz: np.ndarray, ions: np.ndarray, peak_mz: np.ndarray, intensity: np.ndarray, peaks: np.ndarray, tolerance: float) -> np.ndarray:
+    """log2 intensity of the peak that each ion meets, 0.0 without one; ``ions`` and ``peaks`` say how many each row has.
+
+    Peaks ascend in a row. The rule is that of ``match.nearest_peaks``: a peak strictly below and one at or above must be there, the nearer
+    counts, the lower one on a tie, if it is nearer than the tolerance. Distances keep the type of the m/z, the tolerance is a double.
+    """
+    if not len(peak_mz):
+        return np.zeros(len(mz))
+    end, stop = np.cumsum(ions), np.cumsum(peaks)
+    begin, start = end - ions, stop - peaks
+    bounds = zip(start.tolist(), stop.tolist(), begin.tolist(), end.tolist(), strict=True)
+    at = np.concatenate([np.empty(0, np.int64), *(peak_mz[a:b].searchsorted(mz[c:d]) + a for a, b, c, d in bounds)])
+    low, high = np.maximum(at - 1, 0), np.minimum(at, len(peak_mz) - 1)
+    both = (at > np.repeat(start, ions)) & (at < np.repeat(stop, ions)) & (mz > 0)
+    below, above = mz - peak_mz[low], peak_mz[high] - mz
+    left = both & (below <= above) & (below.astype(np.float64) < tolerance)
+    right = both & (above < below) & (above.astype(np.float64) < tolerance)
+    with np.errstate(all="ignore"):
+        return np.where(left | right, np.log2(intensity[np.where(right, high, low)].astype(np.float64) + OFFSET), 0.0)
+
+
+def _lists(column: pa.Array) -> tuple[pa.StructArray, np.ndarray]:
+    """Elements of a list column one after another, and how many each row has."""
+    return column.flatten(), np.diff(column.offsets.to_numpy()).astype(np.int64) if not column.null_count else pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def scored_batches(keys: list[str], wanted: tuple[str, ...], tolerance: float):
+    """Batches (keys, fragments, peaks), both lists, to (keys, features): ions meet the peaks of their row and are compared at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, ions = _lists(batch.column("__fragments"))
+            mz, x = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("mz", "predicted"))
+            x = x.astype(np.float64)
+            is_b = pc.fill_null(pc.equal(flat.field("ion"), "b"), False).to_numpy(zero_copy_only=False)
+            peak, peaks = _lists(batch.column("__peaks"))
+            known = pc.is_valid(flat.field("predicted")).to_numpy(zero_copy_only=False) & (mz > 0)
+            of = np.repeat(np.arange(len(ions)), ions)[known]
+            ions = np.bincount(of, minlength=len(ions)).astype(np.int64)
+            mz, x, is_b = mz[known], x[known], is_b[known]
+            y = observed_values(mz, ions, *(peak.field(n).to_numpy(zero_copy_only=False) for n in ("mz", "intensity")), peaks, tolerance)
+            got = features(x, y, is_b, ions)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *(pa.array(got[c]) for c in wanted)], [*keys, *wanted])
+
+    return run
+
+
 def feature_batches(keys: list[str], wanted: tuple[str, ...]):
     """Batches (keys, ions: list of (is_b, x, y)) to (keys, features)."""
 

@@ -14,6 +14,10 @@ from spectrail.schemas import OFFSET
 FOUND, NO_PREDICTION, NO_VARIANT, LOCAL = "store", "missing_prediction", "missing_variant", "local"
 #: Codes up to which the dictionary is broadcast; a larger one is joined by shuffle.
 BROADCAST_CODES = 1_000_000
+#: Keys up to which they are broadcast to the predictions (9 bytes each); more meet them by buckets or by shuffle.
+BROADCAST_KEYS = 1_000_000
+#: What each table of a store is joined on.
+KEYS = {"peptide": ("is_target", "pep_seq"), "variant": ("is_target", "peptide_id", "var_mod_sites_unimod"), "prediction": ("is_target", "precursor_id")}
 
 
 @dataclass
@@ -26,6 +30,17 @@ class Store:
     variant: DataFrame
     prediction: DataFrame
     codes: DataFrame
+    #: The tables are bucketed and sorted by ``KEYS``, so joins read them where they lie.
+    bucketed: bool = False
+    #: Says which store this is and in what state, where caches ask for it.
+    mark: str = ""
+
+    def for_keys(self, queries: DataFrame) -> Store:
+        """A store that holds at least what belongs to the queries: this one, where reading is pruned by Spark itself."""
+        return self
+
+    def close(self) -> None:
+        """Frees what ``for_keys`` has set up."""
 
 
 def is_target(label: Column) -> Column:
@@ -66,9 +81,23 @@ def status(variant_id: Column, *arrays: Column) -> Column:
     return F.when(variant_id.isNull(), NO_VARIANT).when(present, FOUND).otherwise(NO_PREDICTION)
 
 
-def look_up(queries: DataFrame, store: Store) -> DataFrame:
+def look_up(queries: DataFrame, store: Store, few: bool = False) -> DataFrame:
     """One row a query: ids, prediction_source and the raw arrays, which are fetched by the last join only."""
-    got = one_per_key(resolve(queries, store)).join(store.prediction, ["is_target", "precursor_id"], "left")
+    return with_predictions(one_per_key(resolve(queries, store)), store, few)
+
+
+def with_predictions(resolved: DataFrame, store: Store, few: bool = False) -> DataFrame:
+    """Adds the arrays of each row's precursor and prediction_source.
+
+    With ``few`` rows (``BROADCAST_KEYS`` at most, which the caller has counted) their keys are broadcast, and the scan of the predictions
+    passes on what is asked for, so no other prediction is shuffled. More keys are shuffled to the buckets of a bucketed
+    store, whose predictions stay where they lie; a plain store is shuffled.
+    """
+    held = store.prediction
+    if few:
+        asked = resolved.where("precursor_id IS NOT NULL").select("is_target", "precursor_id").distinct()
+        held = held.join(F.broadcast(asked), ["is_target", "precursor_id"], "left_semi")
+    got = resolved.join(held, ["is_target", "precursor_id"], "left")
     return got.withColumn("prediction_source", status(F.col("variant_id"), F.col("peak_code"), F.col("mz"), F.col("intensity"))).drop("is_target")
 
 

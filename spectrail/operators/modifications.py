@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +53,7 @@ def _ending(head: str) -> Column:
     return F.filter("names", lambda x: x.rlike(f"{head}_[NC]-term$"))
 
 
-#: Dictionary rows up to which it is brought to the driver once and broadcast; a larger one is joined as it is.
+#: Dictionary rows up to which it is broadcast; a larger one is joined as it is.
 BROADCAST_MODS = 200_000
 KINDS = ("nterm_residue", "nterm", "residue", "cterm_residue", "cterm")
 
@@ -63,24 +65,29 @@ def _chosen(mods: DataFrame) -> DataFrame:
         parts.append(candidates(known, by).select(F.concat(F.lit(head), F.col(by).cast("string")).alias("__key"), F.col("residue").alias("__of"), "class", F.struct("known", "chosen").alias("choice")))
     rows = parts[0].unionByName(parts[1])
     held = rows.groupBy("__key", "__of").agg(*(F.max(F.when(F.col("class") == k, F.col("choice"))).alias(f"__as_{k}") for k in KINDS))
-    if mods.count() <= BROADCAST_MODS:
-        held = F.broadcast(mods.sparkSession.createDataFrame(held.collect(), held.schema))
-    return held
+    return F.broadcast(held) if mods.count() <= BROADCAST_MODS else held
 
 
 class ModificationError(ValueError):
     """A modification that the dictionary can't resolve, named by the message."""
 
 
-def checked(df: DataFrame) -> DataFrame:
-    """Runs the resolution and raises ``ModificationError`` for what ``resolve`` refuses, before anything else runs."""
+@contextmanager
+def named() -> Iterator[None]:
+    """Raises ``ModificationError`` for what ``resolve`` refuses while the block runs."""
     try:
-        df.write.format("noop").mode("overwrite").save()
+        yield
     except Exception as e:
         found = re.search(r"(?:unknown|ambiguous) modification [^\n]*", str(e))
         if found:
             raise ModificationError(found[0]) from e
         raise
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """Runs the resolution on its own, before anything else does."""
+    with named():
+        df.write.format("noop").mode("overwrite").save()
     return df
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectrail.functions.text import linear_intensity
-from spectrail.operators.kernel import feature_batches
-from spectrail.schemas import OFFSET, SCOPES, SPECTRAL_FEATURES
+from spectrail.operators.kernel import feature_batches, scored_batches
+from spectrail.schemas import OFFSET, SCOPES, SPECTRAL_FEATURES, TOLERANCE
 
 _ION = {"ionb": "b", "iony": "y"}
 
@@ -57,6 +57,19 @@ def similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None =
     return held.mapInArrow(feature_batches(keys, wanted), kinds)
 
 
+def scored(rows: DataFrame, keys: list[str], tolerance: float = TOLERANCE, fragments: str = "fragments", peaks: str = "peaks", only: tuple[str, ...] | None = None) -> DataFrame:
+    """The features of each row from its fragments (ion, mz, predicted in log2) and its spectrum's peaks (mz, intensity, ascending), both arrays.
+
+    Matching and features are one pass over Arrow batches, without a shuffle: the rows are joined with both arrays before. Fragments
+    without an m/z over 0 or a prediction don't count; the others meet a peak or are observed as 0.0, also in a spectrum without
+    peaks. Rows without fragments or with null arrays give 0 in all features.
+    """
+    wanted = only or SPECTRAL_FEATURES
+    held = rows.select(*keys, F.transform(fragments, lambda f: F.struct(f["ion"].alias("ion"), f["mz"].alias("mz"), f["predicted"].alias("predicted"))).alias("__fragments"), F.transform(peaks, lambda p: F.struct(p["mz"].alias("mz"), p["intensity"].alias("intensity"))).alias("__peaks"))
+    kinds = ", ".join([f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}` double" for c in wanted])
+    return held.mapInArrow(scored_batches(keys, wanted, tolerance), kinds)
+
+
 def native_similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None = None) -> DataFrame:
     """The same by aggregates alone, for a few features and as a check on the kernel.
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spectrail.config import BuildConfig, BuildResult
 from spectrail.functions.peptide import decode_charge, parse_peptide, precursor_key, psm_key
-from spectrail.operators import cache, lookup, match, retention, similarity
+from spectrail.operators import cache, lookup, retention, similarity
 from spectrail.operators.lookup import LOCAL, NO_PREDICTION, Store
-from spectrail.plans.predictors import FragmentPredictor, TimePredictor
-from spectrail.progress import say, timed
+from spectrail.plans.predictors import FragmentPredictor, TimePredictor, mark
+from spectrail.progress import progressing, say, timed
 from spectrail.schemas import FEATURES, ROW_ID, RT_FEATURES, SPECTRAL_FEATURES
 from spectrail.sources import sinks, spectra, tables
 
@@ -48,16 +48,24 @@ def wanting(found: DataFrame) -> DataFrame:
 
 
 def update_precursors(rows: DataFrame, store: Store | None, local: FragmentPredictor | None, held: cache.Cache) -> DataFrame:
-    """The precursor cache with every key of ``rows``: from the store, else predicted locally, else marked as missing."""
+    """The precursor cache with every key of ``rows``: from the store, else predicted locally, else marked as missing.
+
+    Keys that the cache lacks are written first, then what the store has for them: it is asked once, whatever reads the answer.
+    """
     keys = rows.select("precursor_key", F.col("label_int").alias("label"), "sequence", "var_mod_sites_unimod", "charge")
-    new = cache.missing(cache.distinct_keys(keys, "precursor_key"), held.read(), "precursor_key")
+    new, n = _held(cache.missing(cache.distinct_keys(keys, "precursor_key"), held.read(), "precursor_key"), f"{held.path}-asked")
+    if not n:
+        held.added = 0
+        return held.read()
     if store is None:
         none = {"fixed_mod_sites_unimod": "string", "all_unimods": "string", "variant_id": "long", "precursor_id": "long"}
         found = new.withColumns({c: F.lit(None).cast(k) for c, k in none.items()}).withColumn("prediction_source", F.lit(NO_PREDICTION))
         fragments = None
         wanted = found
     else:
-        raw = lookup.look_up(new, store)
+        asked = store.for_keys(new)
+        raw, _ = _held(lookup.look_up(new, asked, n <= lookup.BROADCAST_KEYS), f"{held.path}-found")
+        asked.close()
         found = raw.drop("peak_code", "mz", "intensity")
         fragments = packed(lookup.scatter(raw, store.codes))
         wanted = wanting(found)
@@ -69,30 +77,31 @@ def update_precursors(rows: DataFrame, store: Store | None, local: FragmentPredi
     return held.append(out.select(names))
 
 
-def score(rows: DataFrame, precursors: DataFrame, peaks: DataFrame, tolerance: float) -> DataFrame:
-    """(psm_key, 71 features) of the rows; all 0 without a spectrum, a prediction or a valid ion."""
+def score(rows: DataFrame, precursors: DataFrame, observed: DataFrame, tolerance: float) -> DataFrame:
+    """(psm_key, 71 features) of the rows; all 0 without a spectrum, a prediction or a valid ion.
+
+    Both arrays, of a row's precursor and of its scan (scan_number, peaks), are joined to it, and one kernel matches and compares
+    them: after the join by scan there is no shuffle. A precursor or scan of very many rows is a skewed key of a plain join.
+    """
     some = rows.select("psm_key", "precursor_key", F.col("ScanNr").cast("long").alias("scan_number")).dropDuplicates(["psm_key"])
-    ions = some.join(precursors.select("precursor_key", "fragments"), "precursor_key").select("psm_key", "scan_number", F.inline("fragments")).where("mz > 0")
-    # only scans that have both ions and peaks are sorted
-    scans, wanted = peaks.select("scan_number").distinct(), ions.select("scan_number").distinct()
-    peaks = peaks.join(wanted, "scan_number", "left_semi")
-    matched = match.nearest_peaks(ions.join(scans, "scan_number", "left_semi").select("psm_key", "scan_number", "ion", "mz", "predicted"), peaks, "scan_number", tolerance)
-    found = similarity.similarity(matched, ["psm_key"])
+    both = some.join(precursors.where("fragments IS NOT NULL").select("precursor_key", "fragments"), "precursor_key").join(observed.select("scan_number", "peaks"), "scan_number")
+    found = similarity.scored(both, ["psm_key"], tolerance)
     return some.select("psm_key").join(found, "psm_key", "left").fillna(0.0, subset=list(SPECTRAL_FEATURES))
 
 
-def update_spectral(rows: DataFrame, precursors: DataFrame, peaks: DataFrame, held: cache.Cache, tolerance: float) -> DataFrame:
+def update_spectral(rows: DataFrame, precursors: DataFrame, observed: DataFrame, held: cache.Cache, tolerance: float) -> DataFrame:
     new = cache.missing(rows, held.read(), "psm_key")
-    return held.append(score(new, precursors, peaks, tolerance))
+    return held.append(score(new, precursors, observed, tolerance))
 
 
 def update_times(rows: DataFrame, times: TimePredictor, held: cache.Cache, config: BuildConfig) -> DataFrame:
     """The retention-time cache; the calibration is fitted on all current rows, kept, and reused unless asked not to."""
     new = cache.missing(rows, held.read(), "psm_key")
-    if new.isEmpty():
-        return held.read()
     at = None if config.recalibrate else load_calibration(rows.sparkSession, config)
     if at is None:
+        if new.isEmpty():
+            held.added = 0
+            return held.read()
         at = retention.knots(times.times(retention.calibration_set(rows, config.calibration_fraction)).where("raw IS NOT NULL"))
         save_calibration(rows.sparkSession, config, at)
     made = times.times(new).withColumn("predicted_retention_time", retention.calibrate(F.col("raw").cast("double"), [tuple(x) for x in at]))
@@ -108,41 +117,60 @@ def save_calibration(spark: SparkSession, config: BuildConfig, at: list) -> None
     sinks.write_json(spark, at, f"{config.cache_dir}/calibration.json")
 
 
-def _held(df: DataFrame, path: str) -> DataFrame:
-    """A frame that several steps read, written once; those of runs before the last one go."""
+def _held(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """A frame that several steps read, written once, and its rows; those of runs before the last one go."""
     held = cache.Cache(df.sparkSession, path, ROW_ID, "")
     old = [name for _, _, name in held._folders()]
     out = held.write(df)
     held._delete(old[:-1])
-    return out
+    return out, held.added
+
+
+def counters(rows: DataFrame, precursors: DataFrame) -> dict[str, int]:
+    """Distinct keys of the rows, and where their precursors' predictions come from: two narrow aggregates."""
+    counts = rows.agg(F.count_distinct("precursor_key").alias("precursor_count"), F.count_distinct("psm_key").alias("psm_count")).first()
+    kinds = precursors.join(rows.select("precursor_key").distinct(), "precursor_key", "left_semi").groupBy("prediction_source").agg(F.count(F.lit(1)).alias("n"))
+    sources = {r["prediction_source"]: r["n"] for r in kinds.collect()}  # four kinds
+    return counts.asDict() | {"store_hits": sources.get(lookup.FOUND, 0), "local_predictions": sources.get(LOCAL, 0)}
+
+
+def with_cached(rows: DataFrame, held: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Adds a cache's columns by key, 0 where it lacks the key; no row is lost."""
+    return rows.join(held.select(key, *columns), key, "left").fillna(0.0, subset=columns)
 
 
 def _features(spark: SparkSession, config: BuildConfig, store: Store | None, local: FragmentPredictor | None, times: TimePredictor | None) -> tuple[DataFrame, dict]:
     pin = tables.read_matches(spark, config.match_table, config.max_rows)
     if times is not None and "Xcorr" not in pin.columns:
         raise ValueError("retention times need the column Xcorr")
-    observed = spectra.read_spectra(spark, config.spectra)
-    rows = augment(pin, config.run_id)
-    rows = _held(with_observed_times(rows, observed), f"{config.cache_dir}/rows")
-    at = lambda name, key, schema: cache.Cache(spark, f"{config.cache_dir}/{name}", key, schema, config.fingerprint)
-    spectral, clock, precursor = at("spectral_features", "psm_key", _SPECTRAL), at("rt_features", "psm_key", _TIMES), at("precursors", "precursor_key", _PRECURSORS)
-    say(f"{config.run_id}: rows read, scoring what the caches lack")
-    count = lambda df: df.select("psm_key").distinct().count()
-    misses = {"spectral_misses": count(cache.missing(rows, spectral.read(), "psm_key")), "rt_misses": count(cache.missing(rows, clock.read(), "psm_key")) if times else 0}
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("precursor_key").alias("p"), F.count_distinct("psm_key").alias("k")).first()
-    with timed(f"{config.run_id}: predictions of {counts['p']} precursors"):
+    # each input is parsed once, into a table that later steps read
+    dropped = Observation()
+    mgf = tables.bare_name(config.spectra).endswith(".mgf")
+    observed, _ = _held(spectra.read_spectra(spark, config.spectra, dropped if mgf else None, check=False), f"{config.cache_dir}/spectra")
+    spectra.unique_scans(observed)
+    rows, n = _held(with_observed_times(augment(pin, config.run_id), observed), f"{config.cache_dir}/rows")
+    inputs = [[path, sinks.file_facts(spark, path)] for path in (config.match_table, config.spectra)]
+    predicted = [mark(local), store.mark if store else ""]
+    at = lambda name, key, schema, *facts: cache.Cache(spark, f"{config.cache_dir}/{name}", key, schema, config.fingerprint(*facts))
+    spectral = at("spectral_features", "psm_key", _SPECTRAL, inputs, config.tolerance, predicted)
+    clock, precursor = at("rt_features", "psm_key", _TIMES, inputs, mark(times)), at("precursors", "precursor_key", _PRECURSORS, predicted)
+    say(f"{config.run_id}: {n} rows read, scoring what the caches lack")
+    with timed(f"{config.run_id}: predictions"), progressing(spark, f"{config.run_id}: predictions"):
         precursors = update_precursors(rows, store, local, precursor)
-    with timed(f"{config.run_id}: spectral features, {misses['spectral_misses']} rows scored of {counts['k']}"):
-        scored = update_spectral(rows, precursors, spectra.peaks_long(observed), spectral, config.tolerance)
-    out = rows.drop("observed_retention_time").join(scored, "psm_key", "left")
-    with timed(f"{config.run_id}: retention times, {misses['rt_misses']} rows", quiet=times is None):
+    with timed(f"{config.run_id}: spectral features"), progressing(spark, f"{config.run_id}: spectral features"):
+        scored = update_spectral(rows, precursors, observed, spectral, config.tolerance)
+    out = with_cached(rows.drop("observed_retention_time"), scored, "psm_key", list(SPECTRAL_FEATURES))
+    with timed(f"{config.run_id}: retention times", quiet=times is None):
         clocked = update_times(rows, times, clock, config) if times is not None else spark.createDataFrame([], _TIMES)
     out = retention.best_per_peptide(out.join(clocked, "psm_key", "left"))
     out = out.fillna(0.0, subset=list(FEATURES))
     names = [c for c in pin.columns if c != ROW_ID]
-    sources = {r["prediction_source"]: r["n"] for r in precursors.join(rows.select("precursor_key").distinct(), "precursor_key", "left_semi").groupBy("prediction_source").agg(F.count(F.lit(1)).alias("n")).collect()}  # four kinds
-    stats = {"row_count": counts["n"], "precursor_count": counts["p"], "store_hits": sources.get(lookup.FOUND, 0), "local_predictions": sources.get(LOCAL, 0), "spectral_hits": counts["k"] - misses["spectral_misses"], "rt_hits": counts["k"] - misses["rt_misses"] if times else 0} | misses
-    return out.select(ROW_ID, *sinks.insert_before(names, list(FEATURES))), stats
+    stats = {"row_count": n, "spectral_misses": spectral.added, "rt_misses": clock.added if times else 0} | counters(rows, precursors)
+    known = stats.pop("psm_count")
+    stats |= {"spectral_hits": known - stats["spectral_misses"], "rt_hits": known - stats["rt_misses"] if times else 0}
+    say(f"{config.run_id}: {stats['spectral_misses']} rows scored of {known}, {stats['precursor_count']} precursors")
+    more = {f"dropped_{k}": v for k, v in dropped.get.items()} if mgf else {}
+    return out.select(ROW_ID, *sinks.insert_before(names, list(FEATURES))), stats | {"more": more}
 
 
 def build_features(spark: SparkSession, config: BuildConfig, store: Store | None = None, local: FragmentPredictor | None = None, times: TimePredictor | None = None, match_table: str | None = None, spectra_path: str | None = None) -> DataFrame:
@@ -154,10 +182,11 @@ def build_features(spark: SparkSession, config: BuildConfig, store: Store | None
 def build_pin(spark: SparkSession, config: BuildConfig, store: Store | None = None, local: FragmentPredictor | None = None, times: TimePredictor | None = None) -> BuildResult:
     """``build_features``, written as gzipped PIN text, with a manifest beside the caches."""
     table, stats = _features(spark, config, store, local, times)
+    more = stats.pop("more")
     with timed(f"{config.run_id}: output"):
         sinks.write_pin(table, config.output, config.single_file)
     manifest = sinks.read_json(spark, f"{config.cache_dir}/manifest.json", {})
     facts = {f"{name}_{k}": v for name, path in (("match_table", config.match_table), ("spectra", config.spectra)) for k, v in sinks.file_facts(spark, path).items()}
-    manifest |= stats | facts | {"run_id": config.run_id, "match_table": config.match_table, "spectra": config.spectra, "calibration_present": load_calibration(spark, config) is not None}
+    manifest |= stats | more | facts | {"run_id": config.run_id, "match_table": config.match_table, "spectra": config.spectra, "calibration_present": load_calibration(spark, config) is not None}
     sinks.write_json(spark, manifest, f"{config.cache_dir}/manifest.json")
     return BuildResult(config.run_id, config.output, config.cache_dir, **stats, metadata=manifest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spectrail.functions.text import normal_id
@@ -56,21 +56,23 @@ def attach(ions: DataFrame, observed: DataFrame, tolerance: float = TOLERANCE, i
     return hit.unionByName(none.select(hit.columns))
 
 
-def correlate(psms: DataFrame, observed: DataFrame, predictor: FragmentPredictor, mods: DataFrame | None = None, tolerance: float = TOLERANCE, id_pattern: str | None = None, warn: bool = True) -> DataFrame:
+def correlate(psms: DataFrame, observed: DataFrame, predictor: FragmentPredictor, mods: DataFrame | None = None, tolerance: float = TOLERANCE, id_pattern: str | None = None, folder: str | None = None) -> DataFrame:
     """(row id, correlation, n_b_ions, n_y_ions); null correlation where the spectrum is missing.
 
-    One aggregate by row gives correlation, counts and whether any ion met a peak. The warning about few matches
-    is an action of its own, whose narrow result is persisted for those that follow; ``warn=False`` leaves both out.
+    One aggregate by row gives correlation, counts and whether any ion met a peak. With ``folder`` the narrow result is written there and read
+    back, so whatever follows doesn't match anew; while it is written, matched results are counted, and few of them give a warning.
     """
     ions = attach(predict(psms, predictor, mods), observed, tolerance, id_pattern).where("mz > 0")
     hit = F.max((F.col("observed") > 0).cast("int")).alias("hit")
     per = similarity.correlation(ions, [ROW_ID], hit, *(F.count_if(F.col("ion") == i).alias(f"n_{i}_ions") for i in "by"))
-    if warn:
-        per = per.persist()
-        got = per.agg(F.coalesce(F.sum("hit"), F.lit(0)).alias("matched"), F.count(F.lit(1)).alias("total")).first()
-        if got["total"] and got["matched"] / got["total"] < EXPECTED:
-            warnings.warn(f"only {got['matched']} of {got['total']} results match a peak", RuntimeWarning, stacklevel=2)
-    return per.drop("hit")
+    if folder is None:
+        return per.drop("hit")
+    seen = Observation()
+    per.observe(seen, F.coalesce(F.sum("hit"), F.lit(0)).alias("matched"), F.count(F.lit(1)).alias("total")).drop("hit").write.mode("overwrite").parquet(folder)
+    got = seen.get
+    if got["total"] and got["matched"] / got["total"] < EXPECTED:
+        warnings.warn(f"only {got['matched']} of {got['total']} results match a peak", RuntimeWarning, stacklevel=2)
+    return psms.sparkSession.read.schema(per.drop("hit").schema).parquet(folder)
 
 
 def median_correlation(correlations: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ class TimePredictor(Protocol):
 class TableFragments:
     """Predictions made elsewhere, as a table with the columns above."""
 
-    def __init__(self, table: DataFrame):
-        self.table = table
+    def __init__(self, table: DataFrame, mark: str = ""):
+        self.table, self.mark = table, mark
 
     def fragments(self, precursors: DataFrame) -> DataFrame:
         return self.table.join(precursors.select("precursor_key"), "precursor_key", "left_semi")
@@ -33,8 +33,8 @@ class TableFragments:
 class TableTimes:
     """Raw times by ``key`` as a table (key, raw)."""
 
-    def __init__(self, table: DataFrame, key: str = "Peptide"):
-        self.table, self.key = table.select(key, "raw"), key
+    def __init__(self, table: DataFrame, key: str = "Peptide", mark: str = ""):
+        self.table, self.key, self.mark = table.select(key, "raw"), key, mark
 
     def times(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.table, self.key, "left")
@@ -53,8 +53,8 @@ def loaded(name: str, load: Callable[[], Any]) -> Any:
 class ArrowModel:
     """Any function over Arrow batches; ``load`` runs once in each Python worker, which serves many tasks."""
 
-    def __init__(self, load: Callable[[], Any], predict: Callable, schema: str):
-        self.load, self.predict, self.schema, self.name = load, predict, schema, uuid.uuid4().hex
+    def __init__(self, load: Callable[[], Any], predict: Callable, schema: str, mark: str = ""):
+        self.load, self.predict, self.schema, self.name, self.mark = load, predict, schema, uuid.uuid4().hex, mark
 
     def _run(self, rows: DataFrame) -> DataFrame:
         name, load, predict = self.name, self.load, self.predict
@@ -73,3 +73,8 @@ def plug_in(path: str, **settings: Any) -> Any:
     """A predictor made by ``module:function``, called with the settings."""
     module, _, name = path.partition(":")
     return getattr(importlib.import_module(module), name)(**settings)
+
+
+def mark(plug: Any) -> str:
+    """Which plug-in this is, for caches that depend on it: its class, and its ``mark`` if it has one (a version, a path and time)."""
+    return "" if plug is None else f"{type(plug).__module__}.{type(plug).__qualname__} {getattr(plug, 'mark', '')}"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spectrail.functions import peptide, text
-from spectrail.operators import cache, lookup, match, modifications, retention, similarity
+from spectrail.operators import cache, lookup, match, modifications, ranges, retention, similarity
 from spectrail.plans import build, correlate
 from spectrail.plans.predictors import TableFragments
 from spectrail.schemas import FEATURES, ROW_ID, RT_BEST, RT_FEATURES, SPECTRAL_FEATURES
@@ -418,24 +418,23 @@ def explicit_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modifications.resolve(tokens, spark.createDataFrame(_DICTIONARY, "mod_name string, unimod_id long"), ["c_custkey"]).select("c_custkey", "mod", "site")
 
 
-@query("""WITH peaks AS (SELECT user_id, value AS mz, max(event_id) AS hi, min(event_id) AS lo FROM events GROUP BY ALL),
-held AS (SELECT c_custkey, unnest(range(0, 6)) AS k, abs(c_acctbal) / 100 AS base FROM customer WHERE c_custkey % 3 <> 0),
-rows AS (SELECT o_orderkey, o_custkey % 120 AS scan, o_custkey FROM orders),
-ions AS (SELECT o_orderkey, scan, k, base + k * 0.3::DOUBLE AS mz, k * 0.5::DOUBLE AS x FROM rows JOIN held ON c_custkey = o_custkey WHERE base + k * 0.3::DOUBLE > 0 AND scan IN (SELECT user_id FROM events)),
+@query("""WITH peaks AS (SELECT user_id, value::FLOAT AS mz, max(event_id) AS hi, min(event_id) AS lo FROM events GROUP BY ALL),
+held AS (SELECT s_suppkey, unnest(range(0, 6)) AS k, abs(s_acctbal) / 100 AS base FROM supplier),
+ions AS (SELECT o_orderkey, o_custkey AS scan, k, (base + k * 0.3::DOUBLE)::FLOAT AS mz, k * 0.5::DOUBLE AS x FROM orders JOIN held ON s_suppkey = o_custkey WHERE base + k * 0.3::DOUBLE > 0 AND o_custkey IN (SELECT user_id FROM events)),
 a AS (SELECT i.*, p.mz AS low, p.hi AS low_id FROM ions i ASOF LEFT JOIN peaks p ON p.user_id = i.scan AND i.mz > p.mz),
 b AS (SELECT a.*, p.mz AS high, p.lo AS high_id FROM a ASOF LEFT JOIN peaks p ON p.user_id = a.scan AND a.mz <= p.mz),
-m AS (SELECT o_orderkey, k, x, CASE WHEN low IS NULL OR high IS NULL THEN 0.0::DOUBLE WHEN mz - low <= high - mz AND mz - low < 0.5::DOUBLE THEN log2(low_id % 1000 + 1 + 0.001::DOUBLE)
-  WHEN high - mz < mz - low AND high - mz < 0.5::DOUBLE THEN log2(high_id % 1000 + 1 + 0.001::DOUBLE) ELSE 0.0::DOUBLE END AS y FROM b),
+m AS (SELECT o_orderkey, k, x, CASE WHEN low IS NULL OR high IS NULL THEN 0.0::DOUBLE WHEN mz - low <= high - mz AND (mz - low)::DOUBLE < 0.5::DOUBLE THEN log2(low_id % 1000 + 1 + 0.001::DOUBLE)
+  WHEN high - mz < mz - low AND (high - mz)::DOUBLE < 0.5::DOUBLE THEN log2(high_id % 1000 + 1 + 0.001::DOUBLE) ELSE 0.0::DOUBLE END AS y FROM b),
 f AS (SELECT o_orderkey, avg((x - y) * (x - y)) AS mse, sum(x * y) FILTER (WHERE k >= 3) AS dot FROM m GROUP BY o_orderkey)
-SELECT o_orderkey, round(coalesce(mse, 0), 6) AS spec_mse_norm, round(coalesce(dot, 0), 6) AS dotprod_iony_norm FROM rows LEFT JOIN f USING (o_orderkey)""")
+SELECT o_orderkey, round(coalesce(mse, 0), 6) AS spec_mse_norm, round(coalesce(dot, 0), 6) AS dotprod_iony_norm FROM orders LEFT JOIN f USING (o_orderkey)""")
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both a spectrum and a prediction, or zeros: orders are rows, customers precursors, a user's events a spectrum."""
-    events = table(spark, sf_dir, "events")
-    peaks = events.select(F.col("user_id").alias("scan_number"), F.col("value").alias("mz"), (F.col("event_id") % 1000 + 1).cast("double").alias("intensity"), F.col("event_id").alias("peak_index"))
-    ion = lambda k: F.struct(F.when(k < 3, "b").otherwise("y").alias("ion"), k.alias("row"), F.lit(1).alias("frag_charge"), (F.abs("c_acctbal") / 100 + k * 0.3).alias("mz"), (k * 0.5).alias("predicted"))
-    held = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("precursor_key"), F.transform(F.sequence(F.lit(0), F.lit(5)), ion).alias("fragments"))
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("psm_key"), F.col("o_custkey").alias("precursor_key"), (F.col("o_custkey") % 120).alias("ScanNr"))
-    got = build.score(rows, held, peaks, 0.5)
+    """Both a spectrum and a prediction, or zeros: orders are rows, suppliers precursors, a user's events a spectrum. There are fewer of both than customers."""
+    peaks = F.array_sort(F.collect_list(F.struct(F.col("value").cast("float").alias("mz"), F.col("event_id").alias("peak_index"), (F.col("event_id") % 1000 + 1).cast("float").alias("intensity"))))
+    observed = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("scan_number")).agg(peaks.alias("peaks"))
+    ion = lambda k: F.struct(F.when(k < 3, "b").otherwise("y").alias("ion"), k.alias("row"), F.lit(1).alias("frag_charge"), (F.abs("s_acctbal") / 100 + k * 0.3).cast("float").alias("mz"), (k * 0.5).alias("predicted"))
+    held = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("precursor_key"), F.transform(F.sequence(F.lit(0), F.lit(5)), ion).alias("fragments"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("psm_key"), F.col("o_custkey").alias("precursor_key"), F.col("o_custkey").alias("ScanNr"))
+    got = build.score(rows, held, observed, 0.5)
     return got.select(F.col("psm_key").alias("o_orderkey"), six("spec_mse_norm", "spec_mse_norm"), six("dotprod_iony_norm", "dotprod_iony_norm"))
 
 
@@ -444,9 +443,10 @@ def last_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectra.last_of_each(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id")
 
 
-@query("SELECT o_orderkey, coalesce(c_acctbal, 0) AS observed_retention_time FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey")
+@query("SELECT o_orderkey, coalesce(s_acctbal, 0) AS observed_retention_time FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey")
 def observed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observed = table(spark, sf_dir, "customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("scan_number"), F.col("c_acctbal").alias("rt_seconds"))
+    """Suppliers stand in for spectra; there are fewer than customers, so some rows have none."""
+    observed = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("scan_number"), F.col("s_acctbal").alias("rt_seconds"))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("ScanNr"))
     return build.with_observed_times(rows, observed).select("o_orderkey", "observed_retention_time")
 
@@ -460,10 +460,12 @@ def pin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("p_partkey", F.round("price", 2).alias("price"), "Peptide", "Proteins")
 
 
-@query("SELECT o_orderkey, c_custkey % 2 AS row_number, round(c_acctbal, 2) AS mz FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 5 <> 0")
+@query("SELECT o_orderkey, s_suppkey % 2 AS row_number, round(s_acctbal, 2) AS mz FROM orders JOIN supplier ON s_suppkey = o_custkey")
 def predicted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    psms = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias(ROW_ID), F.lit("s").alias("spectrum_id"), F.expr("translate(CAST(o_custkey AS STRING), '0123456789', 'ACDEFGHIKL') || 'K/2'").alias("peptidoform"))
-    ions = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select(F.expr(f"{_LETTERS} || 'K/2'").alias("precursor_key"), F.lit("b").alias("ion"), (F.col("c_custkey") % 2).alias("row"), F.lit(1).alias("frag_charge"), F.col("c_acctbal").alias("mz"), F.lit(0.5).alias("predicted"))
+    """Predictions joined by key; suppliers stand in for them, so customers beyond the suppliers have none."""
+    written = lambda c: F.expr(f"translate(CAST({c} AS STRING), '0123456789', 'ACDEFGHIKL') || 'K/2'")
+    psms = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias(ROW_ID), F.lit("s").alias("spectrum_id"), written("o_custkey").alias("peptidoform"))
+    ions = table(spark, sf_dir, "supplier").select(written("s_suppkey").alias("precursor_key"), F.lit("b").alias("ion"), (F.col("s_suppkey") % 2).alias("row"), F.lit(1).alias("frag_charge"), F.col("s_acctbal").alias("mz"), F.lit(0.5).alias("predicted"))
     return correlate.predict(psms, TableFragments(ions)).select(F.col(ROW_ID).alias("o_orderkey"), F.col("row").alias("row_number"), F.round("mz", 2).alias("mz"))
 
 
@@ -484,10 +486,10 @@ def attach_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- caches
 
 
-@query("SELECT user_id, count(*) AS n FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 20 = 0) GROUP BY user_id")
+@query("SELECT lang, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY lang")
 def cache_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").select(F.col("o_custkey").alias("user_id"))
-    return cache.missing(table(spark, sf_dir, "events").select("user_id"), held, "user_id").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """Documents that the labels, a cache by id, lack."""
+    return cache.missing(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels"), "doc_id").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH old AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders GROUP BY 1), new AS (SELECT user_id AS k, max(event_id) AS v FROM events GROUP BY 1)
@@ -549,26 +551,67 @@ def best_of_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- assembly
 
 
-@query("SELECT o_orderkey, o_custkey, coalesce(c_acctbal, 0) AS score, o_orderstatus AS Peptide FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON c_custkey = o_custkey")
+@query("SELECT o_orderkey, o_custkey, coalesce(s_acctbal, 0) AS score, o_orderstatus AS Peptide FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey")
 def fill_and_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("Peptide"))
-    held = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("score"))
-    out = rows.join(held, "o_custkey", "left").fillna(0.0, subset=["score"])
-    return out.select(sinks.insert_before(rows.columns, ["score"]))
+    held = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("o_custkey"), F.col("s_acctbal").alias("score"))
+    return build.with_cached(rows, held, "o_custkey", ["score"]).select(sinks.insert_before(rows.columns, ["score"]))
 
 
 @query("SELECT o_orderkey, row_number() OVER () - 1 AS row_id FROM (SELECT o_orderkey FROM orders LIMIT 100)")
 def head_by_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("_metadata.row_index").alias("row_id"))
-    return rows.where("row_id < 100")
+    return tables.first_rows(tables._parquet(spark, f"{sf_dir}/orders.parquet"), 100).select("o_orderkey", F.col(ROW_ID).alias("row_id"))
 
 
-@query("""SELECT count(*) AS rows, count(DISTINCT user_id) AS peptides, count(*) FILTER (WHERE user_id IN (SELECT o_custkey FROM orders WHERE o_orderkey % 20 = 0)) AS hits,
-  count(*) FILTER (WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 20 = 0)) AS misses FROM events""")
+@query("""WITH asked AS (SELECT DISTINCT o_custkey AS k FROM orders)
+SELECT count(*) AS psm_count, (SELECT count(*) FROM asked) AS precursor_count, (SELECT count(*) FROM asked JOIN customer ON c_custkey = k WHERE c_acctbal >= 0) AS store_hits,
+  (SELECT count(*) FROM asked JOIN customer ON c_custkey = k WHERE c_acctbal < 0) AS local_predictions FROM orders""")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").select(F.col("o_custkey").alias("user_id"), F.lit(1).alias("held")).distinct()
-    rows = table(spark, sf_dir, "events").select("user_id").join(held, "user_id", "left")
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("peptides"), F.count("held").alias("hits"), F.count_if(F.col("held").isNull()).alias("misses"))
+    """The build's counters: orders are rows, customers their precursors; of a negative balance they count as predicted locally."""
+    precursors = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("precursor_key"), F.when(F.col("c_acctbal") < 0, lookup.LOCAL).otherwise(lookup.FOUND).alias("prediction_source"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("psm_key"), F.col("o_custkey").alias("precursor_key"))
+    got = build.counters(rows, precursors)
+    return spark.createDataFrame([tuple(got.values())], ", ".join(f"{k} long" for k in got))
+
+
+@query(_RESOLVED + """SELECT o_orderkey, CASE WHEN variant_id IS NULL THEN 'missing_variant' WHEN s_acctbal IS NULL THEN 'missing_prediction' ELSE 'store' END AS prediction_source, round(s_acctbal, 2) AS first_mz
+  FROM r LEFT JOIN pred ON pred.precursor_id = r.precursor_id AND pred.is_target = r.is_target""")
+def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup with its keys broadcast to the store where they are few enough, by a count."""
+    ask, held = store(spark, sf_dir)
+    return lookup.look_up(ask, held, ask.count() <= lookup.BROADCAST_KEYS).select("o_orderkey", "prediction_source", F.round(F.get("mz", F.lit(0)), 2).alias("first_mz"))
+
+
+@query("""WITH c AS (SELECT *, event_id // 7 AS precursor_key FROM events), s AS (SELECT *, event_id - min(event_id) OVER (PARTITION BY precursor_key) AS place FROM c)
+SELECT precursor_key, ion, place::INTEGER AS "row", frag_charge, round((value + frag_charge)::FLOAT::DOUBLE, 4) AS mz, round(log2(event_id % 100 + frag_charge + 0.001::DOUBLE), 6) AS predicted FROM s, (VALUES ('b', 1), ('b', 2), ('y', 1)) AS v(ion, frag_charge)""")
+def range_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of rows to fragments: events are rows of the fragment tables, seven in a row a precursor."""
+    events, cell = table(spark, sf_dir, "events"), {"b_z1": 1, "b_z2": 2, "y_z1": 1}
+    mz = events.select(F.col("event_id").alias("frag_row"), *((F.col("value") + z).alias(c) for c, z in cell.items()))
+    intensity = events.select(F.col("event_id").alias("frag_row"), *((F.col("event_id") % 100 + z).alias(c) for c, z in cell.items()))
+    held = events.groupBy(F.expr("event_id div 7").alias("precursor_key")).agg(F.min("event_id").alias("frag_start"), (F.max("event_id") + 1).alias("frag_stop"))
+    got = ranges.from_ranges(held, mz, intensity)
+    return got.select("precursor_key", "ion", "row", "frag_charge", F.round(F.col("mz").cast("double"), 4).alias("mz"), F.round("predicted", 6).alias("predicted"))
+
+
+_NOISY = "value * 0.8::DOUBLE + 25 * sin(value / 3) + (event_id % 13 - 6)"
+
+
+@query(f"""WITH e AS (SELECT event_id, value AS raw, {_NOISY} AS o, greatest(ceil(value / 4) - 1, 0)::BIGINT AS b FROM events),
+m AS (SELECT least(b, 59) AS b, quantile_cont(raw, 0.5) AS x, quantile_cont(o, 0.5) AS y, count(*) AS w FROM e GROUP BY 1),
+k AS (SELECT x, y, w, row_number() OVER (ORDER BY x) AS i FROM m),
+means AS (SELECT l.i AS low, h.i AS high, sum(z.y * z.w) / sum(z.w) AS mean FROM k l JOIN k h ON h.i >= l.i JOIN k z ON z.i BETWEEN l.i AND h.i GROUP BY 1, 2),
+least_of AS (SELECT k.i, low, min(mean) AS mean FROM k JOIN means ON low <= k.i AND high >= k.i GROUP BY 1, 2),
+fitted AS (SELECT i, max(mean) AS y FROM least_of GROUP BY i),
+knots AS (SELECT i, x, f.y FROM k JOIN fitted f USING (i)),
+pieces AS (SELECT a.i, a.x, a.y, b.x AS x2, b.y AS y2, max(a.i) OVER () AS last FROM knots a JOIN knots b ON b.i = a.i + 1)
+SELECT event_id, round(p.y + (raw - p.x) * (p.y2 - p.y) / (p.x2 - p.x), 6) + 0.0::DOUBLE AS calibrated
+FROM e JOIN pieces p ON (raw >= p.x OR p.i = 1) AND (raw < p.x2 OR p.i = last)""")
+def rt_isotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Knots that never fall, fitted to times that do, and all times calibrated by them."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("raw"), F.expr(_NOISY.replace("::DOUBLE", "D")).alias("observed_retention_time"))
+    at = retention.knots(rows, cuts=[4.0 * i for i in range(1, 60)])
+    return rows.select("event_id", six(retention.calibrate(F.col("raw"), at), "calibrated"))
 
 
 assert len(FEATURES) == 77 and len(RT_FEATURES) == 3

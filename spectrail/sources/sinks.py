@@ -75,11 +75,16 @@ def _replace(spark: SparkSession, temporary, target) -> None:
     hadoop.FileContext.getFileContext(uri, conf).rename(temporary, target, over)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _hadoop(spark, path)
+    fs.delete(hadoop.Path(path), True)
+
+
 def file_facts(spark: SparkSession, path: str) -> dict[str, int]:
     """Bytes and time of change (ms) of a file, or of all files of a folder."""
     fs, hadoop = _hadoop(spark, path)
     found = fs.getContentSummary(hadoop.Path(path))
-    return {"bytes": found.getLength(), "changed_ms": fs.getFileStatus(hadoop.Path(path)).getModificationTime()}
+    return {"bytes": found.getLength(), "files": found.getFileCount(), "changed_ms": fs.getFileStatus(hadoop.Path(path)).getModificationTime()}
 
 
 def read_json(spark: SparkSession, path: str, default: Any) -> Any:

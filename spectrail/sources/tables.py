@@ -1,21 +1,16 @@
-"""Match tables (Parquet or PIN text), prediction stores, and predictors that are tables."""
+"""Match tables: Parquet or PIN text."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spectrail.operators.lookup import Store
 from spectrail.schemas import REQUIRED, ROW_ID, require
 
 
-def endings(parquet: str, *texts: str) -> tuple[str, ...]:
-    """File endings in the order in which they are looked for: Parquet first, then text, each kind compressed before plain."""
-    return (f".{parquet}.parquet", *(f".{t}{z}" for t in texts for z in (".gz", "")))
-
-
-#: Of match tables (PIN in Parquet, PIN text, any tab-separated text) and of spectra.
-MATCH_ENDINGS, SPECTRUM_ENDINGS = endings("pin", "pin.tsv", "pin", "tsv"), endings("mgf", "mgf")
+# The endings of match tables and of spectra, in the order in which files are looked for.
+MATCH_ENDINGS = (".pin.parquet", ".pin.tsv.gz", ".pin.tsv", ".pin.gz", ".pin", ".tsv.gz", ".tsv")
+SPECTRUM_ENDINGS = (".mgf.parquet", ".mgf.gz", ".mgf")
 
 
 def bare_name(path: str) -> str:
@@ -33,6 +28,11 @@ def read_matches(spark: SparkSession, path: str, limit: int | None = None) -> Da
     """
     df = _parquet(spark, path) if bare_name(path).endswith(".parquet") else _text(spark, path)
     require(df, REQUIRED, f"the match table {path}")
+    return first_rows(df, limit)
+
+
+def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    """Rows whose number is under the limit, all without one: the same ones in any plan."""
     return df if limit is None else df.where(F.col(ROW_ID) < limit)
 
 
@@ -60,19 +60,46 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     names = header[0].rstrip("\r\n").split("\t") if header else []
     if not names:
         raise ValueError(f"{path} is empty")
-    return _numbered(text_rows(in_order(lines, header[0]), names))
+    rows = fields(in_order(lines, header[0]), names)
+    # one pass over the text for the splits' sizes and the columns' kinds: a row a split
+    split = [F.col("__order.__file").alias("f"), F.col("__order.__block").alias("b")]
+    splits = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("__order.__line").alias("first"), *_numeric(names)).orderBy("f", "b").collect()
+    kinds = _kinds(names, splits)
+    starts, before = [], 0
+    for r in splits:
+        starts.append((r["f"], r["b"], before, r["first"]))
+        before += r["n"]
+    small = F.broadcast(spark.createDataFrame(starts, "f string, b long, before long, first long"))
+    rows = rows.join(small, (F.col("__order.__file") == F.col("f")) & (F.col("__order.__block") == F.col("b")))
+    return rows.select(*_typed(names, kinds), (F.col("before") + F.col("__order.__line") - F.col("first")).alias(ROW_ID))
 
 
-def text_rows(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Lines (value, __order) as typed columns: tabs beyond the last name stay in its column; numbers where every value is one."""
+def fields(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Lines (value, __order) by column, as text: tabs beyond the last name stay in its column."""
     parts = F.split(F.regexp_replace("value", "\r$", ""), "\t", len(names))
-    rows = rows.select("__order", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)))
+    return rows.select("__order", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)))
+
+
+def _numeric(names: list[str]) -> list[Column]:
+    """Whether every value of a column is a whole number (``l``) or a number (``d``), or empty."""
+    numbers = [c for c in names if c not in TEXT_COLUMNS]
+    return [F.bool_and((F.col(f"`{c}`") == "") | F.col(f"`{c}`").try_cast(kind).isNotNull()).alias(f"{kind[0]}{i}") for kind in ("long", "double") for i, c in enumerate(numbers)]
+
+
+def _kinds(names: list[str], found: list) -> dict[str, str]:
     numbers = [c for c in names if c not in TEXT_COLUMNS]
-    whole, real = ({c: F.bool_and((F.col(f"`{c}`") == "") | F.col(f"`{c}`").try_cast(kind).isNotNull()) for c in numbers} for kind in ("long", "double"))
-    kinds = rows.agg(*(v.alias(f"l{i}") for i, v in enumerate(whole.values())), *(v.alias(f"d{i}") for i, v in enumerate(real.values()))).first() if numbers else None
-    cast = {c: "long" if kinds[f"l{i}"] else "double" if kinds[f"d{i}"] else "string" for i, c in enumerate(numbers)}
-    rows = rows.select("__order", *(F.col(f"`{c}`").try_cast(cast[c]).alias(c) if cast.get(c, "string") != "string" else F.col(f"`{c}`") for c in names))
-    return rows
+    every = lambda key: all(r[key] is not False for r in found)
+    return {c: "long" if every(f"l{i}") else "double" if every(f"d{i}") else "string" for i, c in enumerate(numbers)}
+
+
+def _typed(names: list[str], kinds: dict[str, str]) -> list[Column]:
+    return [F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if kinds.get(c, "string") != "string" else F.col(f"`{c}`") for c in names]
+
+
+def text_rows(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Lines (value, __order) as typed columns: a column is numbers where every value is one."""
+    rows = fields(rows, names)
+    return rows.select("__order", *_typed(names, _kinds(names, rows.agg(F.lit(1), *_numeric(names)).collect())))
 
 
 def in_order(lines: DataFrame, header: str | None = None) -> DataFrame:
@@ -82,55 +109,8 @@ def in_order(lines: DataFrame, header: str | None = None) -> DataFrame:
     return rows.withColumn("__order", F.struct("__file", "__block", F.monotonically_increasing_id().alias("__line"))).drop("__file", "__block")
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Gapless numbers in the order of ``__order``: counts by split, no global sort."""
-    split = [F.col("__order.__file").alias("f"), F.col("__order.__block").alias("b")]
-    counts = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("__order.__line").alias("first")).orderBy("f", "b").collect()  # one row a split
-    starts, before = [], 0
-    for r in counts:
-        starts.append((r["f"], r["b"], before, r["first"]))
-        before += r["n"]
-    small = F.broadcast(rows.sparkSession.createDataFrame(starts, "f string, b long, before long, first long"))
-    rows = rows.join(small, (F.col("__order.__file") == F.col("f")) & (F.col("__order.__block") == F.col("b")))
-    return rows.withColumn(ROW_ID, F.col("before") + F.col("__order.__line") - F.col("first")).drop("__order", "f", "b", "before", "first")
-
-
 def read_psms(spark: SparkSession, path: str) -> DataFrame:
     """Rows (spectrum_id, peptidoform) of Parquet or tab-separated text with a header, numbered in file order."""
     df = _parquet(spark, path) if bare_name(path).endswith(".parquet") else _text(spark, path)
     return require(df, ("spectrum_id", "peptidoform"), f"the table {path}")
 
-
-STORE_TABLES = ("peptide", "variant", "prediction")
-
-
-def parquet_store(spark: SparkSession, folder: str) -> Store:
-    """Tables ``peptide``, ``variant``, ``prediction`` with is_target, and ``codes``, under a folder."""
-    return Store(*(spark.read.parquet(f"{folder}/{t}") for t in (*STORE_TABLES, "codes")))
-
-
-def jdbc_store(spark: SparkSession, url: str, schema: str, user: str, password_file: str, partitions: int = 16, fetch: int = 2048) -> Store:
-    """The same from a database with a table a side (``target_peptide``, ``decoy_peptide`` and so on).
-
-    Predictions are read in ``partitions`` ranges of their id; the driver's jar must be on Spark's class path.
-    """
-    with open(password_file) as f:
-        password = f.read().strip()
-    options = {"url": url, "user": user, "password": password, "fetchsize": str(fetch)}
-
-    def load(name: str, column: str | None = None) -> DataFrame:
-        reader = spark.read.format("jdbc").options(**options)
-        full = f"{schema}.{name}"
-        if column:
-            ends = reader.option("query", f"SELECT min({column}) AS a, max({column}) AS b FROM {full}").load().first()
-            if ends[0] is not None:
-                reader = spark.read.format("jdbc").options(**options, partitionColumn=column, lowerBound=str(ends[0]), upperBound=str(ends[1] + 1), numPartitions=str(partitions))
-            else:
-                reader = spark.read.format("jdbc").options(**options)
-        return reader.option("dbtable", full).load()
-
-    def sides(table: str, column: str) -> DataFrame:
-        target, decoy = (load(f"{side}_{table}", column).withColumn("is_target", F.lit(side == "target")) for side in ("target", "decoy"))
-        return target.unionByName(decoy)
-
-    return Store(sides("peptide", "peptide_id"), sides("variant", "variant_id"), sides("prediction", "precursor_id"), load("fragment_peak_codes"))

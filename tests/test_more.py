@@ -17,7 +17,7 @@ from spectrail.operators import cache, lookup, match, modifications
 from spectrail.plans import build, correlate
 from spectrail.plans.predictors import ArrowModel, TableFragments
 from spectrail.schemas import FEATURES, ROW_ID
-from spectrail.sources import sinks, spectra, tables
+from spectrail.sources import sinks, spectra, stores, tables
 from spectrail.streaming.incremental import score_arrivals
 
 from .test_reference import MODS, PIN, build_inputs
@@ -119,14 +119,14 @@ def test_jdbc_store(spark, tmp_path):
     say.executeUpdate("CREATE TABLE APP.fragment_peak_codes (peak_code INT, ion_type VARCHAR(1))")
     say.executeUpdate("INSERT INTO APP.fragment_peak_codes VALUES (1, 'b')")
     (tmp_path / "password").write_text("secret\n")
-    store = tables.jdbc_store(spark, url, "APP", "APP", f"{tmp_path}/password", partitions=3)
+    store = stores.jdbc_store(spark, url, "APP", "APP", f"{tmp_path}/password", partitions=3)
     assert sorted(tuple(r) for r in store.peptide.select("peptide_id", "pep_seq", "is_target").collect()) == sorted([(i, f"P{i}", True) for i in range(5)] + [(i + 50, f"P{i}", False) for i in range(5)])
     assert store.variant.count() == 0 and store.prediction.where("is_target").count() == 3 and store.codes.count() == 1
     assert store.peptide.rdd.getNumPartitions() == 6
     parquet = f"{tmp_path}/store"
     for name in ("peptide", "variant", "prediction", "codes"):
         getattr(store, name).write.parquet(f"{parquet}/{name}")
-    assert tables.parquet_store(spark, parquet).peptide.count() == 10
+    assert stores.parquet_store(spark, parquet).peptide.count() == 10
 
 
 def test_cache_grows_by_what_is_new(spark, tmp_path):
