@@ -28,8 +28,10 @@ def from_ranges(precursors: DataFrame, mz: DataFrame, intensity: DataFrame, key:
     """
     wrong = F.col(start).isNull() | F.col(stop).isNull() | (F.col(start) > F.col(stop))
     named = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    ranges = precursors.select(F.col(key).alias("__key"), F.col(start).cast("long").alias("__start"), F.col(stop).cast("long").alias("__stop"), _failing(wrong, F.concat(F.lit("no range of rows: "), named)).alias("__ok")).where("__ok")
-    claims = ranges.where("__start < __stop").select("__key", "__start", F.explode(F.expr("sequence(__start, __stop - 1)")).alias("__row"))
+    # one condition: two could be tested in either order, and a null range would go unnoticed
+    some = F.when(wrong, F.raise_error(F.concat(F.lit("no range of rows: "), named)).cast("boolean")).otherwise(F.col(start) < F.col(stop))
+    ranges = precursors.where(some).select(F.col(key).alias("__key"), F.col(start).cast("long").alias("__start"), F.col(stop).cast("long").alias("__stop"))
+    claims = ranges.select("__key", "__start", F.explode(F.expr("sequence(__start, __stop - 1)")).alias("__row"))
     columns = [c for c in FRAGMENT_COLUMNS if c in mz.columns and c in intensity.columns]
     held = mz.select(F.col(row).cast("long").alias("__row"), *(F.col(c).cast("float").alias(f"__m_{c}") for c in columns))
     values = intensity.select(F.col(row).cast("long").alias("__row"), *(F.col(c).cast("double").alias(f"__i_{c}") for c in columns))

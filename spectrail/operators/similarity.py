@@ -57,16 +57,27 @@ def similarity(ions: DataFrame, keys: list[str], only: tuple[str, ...] | None =
     return held.mapInArrow(feature_batches(keys, wanted), kinds)
 
 
-def scored(rows: DataFrame, keys: list[str], tolerance: float = TOLERANCE, fragments: str = "fragments", peaks: str = "peaks", only: tuple[str, ...] | None = None) -> DataFrame:
-    """The features of each row from its fragments (ion, mz, predicted in log2) and its spectrum's peaks (mz, intensity, ascending), both arrays.
+def fragment_columns(fragments: str = "fragments") -> list[Column]:
+    """An array of structs (ion, mz, predicted in log2) as plain arrays, which are a fifth of its size where rows are shuffled."""
+    of = F.col(fragments)
+    return [F.transform(of["ion"], lambda i: i == "b").alias("__f_b"), of["mz"].alias("__f_m"), of["predicted"].cast("array<double>").alias("__f_x")]
 
-    Matching and features are one pass over Arrow batches, without a shuffle: the rows are joined with both arrays before. Fragments
+
+def peak_columns(peaks: str = "peaks") -> list[Column]:
+    """An array of structs (mz, intensity), ascending by mz, as plain arrays."""
+    return [F.col(peaks)["mz"].alias("__p_m"), F.col(peaks)["intensity"].alias("__p_i")]
+
+
+def scored(rows: DataFrame, keys: list[str], tolerance: float = TOLERANCE, only: tuple[str, ...] | None = None) -> DataFrame:
+    """The features of each row from its ``fragment_columns`` and its spectrum's ``peak_columns``.
+
+    Matching and features are one pass over Arrow batches, without a shuffle: the rows are joined with both before. Fragments
     without an m/z over 0 or a prediction don't count; the others meet a peak or are observed as 0.0, also in a spectrum without
     peaks. Rows without fragments or with null arrays give 0 in all features.
     """
     wanted = only or SPECTRAL_FEATURES
-    held = rows.select(*keys, F.transform(fragments, lambda f: F.struct(f["ion"].alias("ion"), f["mz"].alias("mz"), f["predicted"].alias("predicted"))).alias("__fragments"), F.transform(peaks, lambda p: F.struct(p["mz"].alias("mz"), p["intensity"].alias("intensity"))).alias("__peaks"))
     kinds = ", ".join([f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}` double" for c in wanted])
+    held = rows.select(*keys, "__f_b", "__f_m", "__f_x", "__p_m", "__p_i")
     return held.mapInArrow(scored_batches(keys, wanted, tolerance), kinds)
 
 

@@ -84,7 +84,8 @@ def score(rows: DataFrame, precursors: DataFrame, observed: DataFrame, tolerance
     them: after the join by scan there is no shuffle. A precursor or scan of very many rows is a skewed key of a plain join.
     """
     some = rows.select("psm_key", "precursor_key", F.col("ScanNr").cast("long").alias("scan_number")).dropDuplicates(["psm_key"])
-    both = some.join(precursors.where("fragments IS NOT NULL").select("precursor_key", "fragments"), "precursor_key").join(observed.select("scan_number", "peaks"), "scan_number")
+    held = precursors.where("fragments IS NOT NULL").select("precursor_key", *similarity.fragment_columns())
+    both = some.join(held, "precursor_key").join(observed.select("scan_number", *similarity.peak_columns()), "scan_number")
     found = similarity.scored(both, ["psm_key"], tolerance)
     return some.select("psm_key").join(found, "psm_key", "left").fillna(0.0, subset=list(SPECTRAL_FEATURES))
 
