@@ -20,6 +20,8 @@ DIMENSIONS, GRAMS, CENTROIDS = 8192, (2, 3, 4), 4
 SAMPLE, LANGUAGES = 300, 128
 #: Languages whose sizes are broadcast to thin out the sample; more are joined by shuffle.
 BROADCAST_LANGUAGES = 10_000
+#: Documents, and bytes of text, whose counts are laid out at once: 8 MB of floats and as much while they are counted.
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 19
 #: A document is rejected below this share of the least similarity that training documents of its size have.
 REJECT = 0.5
 UNKNOWN = "und"
@@ -59,7 +61,8 @@ def gram_counts(texts: pa.Array) -> np.ndarray:
         code = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - DIMENSIONS.bit_length() + 1)
         inside = doc[:m] == doc[length - 1 :]
         cell = doc[:m][inside] * DIMENSIONS + code[inside]
-        out += np.bincount(cell, minlength=docs * DIMENSIONS).reshape(docs, DIMENSIONS).astype(np.float32)
+        held, times = np.unique(cell, return_counts=True) if len(cell) < out.size // 8 else (slice(None), np.bincount(cell, minlength=out.size))
+        out.reshape(-1)[held] += times
     return out
 
 
@@ -89,40 +92,73 @@ def size_class(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(counts.sum(axis=1) + 1).astype(int), 15)
 
 
-def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], centroids: int = CENTROIDS) -> Model:
-    """Spherical k-means in each language on TF-IDF vectors; ties and starts are fixed by the order of rows.
+def slices_of(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that are small both in rows and in bytes of text."""
+    for part in slices(batch, text_col, SLICE_BYTES):
+        for first in range(0, part.num_rows, SLICE_ROWS):
+            yield part.slice(first, SLICE_ROWS)
 
-    Samples are (language, cells, counts), sorted by language; one language at a time is laid out in full.
-    """
-    names, begin = np.unique([x[0] for x in samples], return_index=True)
-    in_documents = np.zeros(DIMENSIONS)
-    for _, cells, _ in samples:
-        in_documents[cells] += 1
-    weight = (np.log((1 + len(samples)) / (1 + in_documents)) + 1).astype(np.float32)
-    model = Model(weight, np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(16))
-    own, sizes, found = [], [], []
-    for name, lo, hi in zip(names.tolist(), begin, [*begin[1:], len(samples)], strict=True):
-        counts = np.zeros((hi - lo, DIMENSIONS), np.float32)
-        for x, (_, cells, values) in enumerate(samples[lo:hi]):
-            counts[x, cells] = values
-        v = model.vectors(counts)
-        centre = v[np.linspace(0, len(v) - 1, min(centroids, len(v))).astype(int)]
-        for _ in range(12):
-            best = (v @ centre.T).argmax(axis=1)
-            centre = np.stack([v[best == c].sum(axis=0) if (best == c).any() else centre[c] for c in range(len(centre))])
-            centre = centre / np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-12)
-        own.append((v @ centre.T).max(axis=1))
-        sizes.append(size_class(counts))
-        found.append(centre)
-        model.language += [name] * len(centre)
-    model.centroids = np.concatenate([model.centroids, *found]).astype(np.float32)
-    own, size = np.concatenate(own), np.concatenate(sizes)
+
+def centres_of(v: np.ndarray, centroids: int) -> np.ndarray:
+    """Spherical k-means on unit vectors; starts and ties are fixed by the order of rows."""
+    centre = v[np.linspace(0, len(v) - 1, min(centroids, len(v))).astype(int)]
+    for _ in range(12):
+        best = (v @ centre.T).argmax(axis=1)
+        centre = np.stack([v[best == c].sum(axis=0) if (best == c).any() else centre[c] for c in range(len(centre))])
+        centre = centre / np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-12)
+    return centre
+
+
+def least_similarities(own: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """By size class, the similarity below which a document is rejected."""
     least = np.array([np.quantile(own[size == c], 0.01) if (size == c).sum() >= 20 else np.nan for c in range(16)])
     for c in range(15, -1, -1):  # shorter texts lie farther off: an unseen class takes half its longer neighbour's
         if np.isnan(least[c]):
             least[c] = least[c + 1] / 2 if c < 15 and not np.isnan(least[c + 1]) else np.nan
-    model.least = np.nan_to_num(least, nan=np.nanmin(least) if not np.isnan(least).all() else 0.0) * REJECT
-    return model
+    return np.nan_to_num(least, nan=np.nanmin(least) if not np.isnan(least).all() else 0.0) * REJECT
+
+
+def fit(sampled: DataFrame, centroids: int = CENTROIDS) -> Model | None:
+    """A model of sparse counts (lang, place, cells, counts); None without any.
+
+    Documents that have a dimension are counted with map-side combining; then each language, a bounded number of
+    documents, is laid out and clustered in a task of its own. The driver gets the centroids, a float for each dimension
+    and one similarity a document.
+    """
+
+    def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(DIMENSIONS, np.int64)
+        for batch in batches:
+            for cells in batch.column("cells"):
+                total[np.frombuffer(cells.as_buffer(), np.uint16)] += 1
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
+
+    found = sampled.mapInArrow(having, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most DIMENSIONS rows
+    in_documents = np.zeros(DIMENSIONS)
+    for r in found:
+        in_documents[r["cell"]] = r["n"]
+    weight = (np.log((1 + sampled.count()) / (1 + in_documents)) + 1).astype(np.float32)
+    shared = sampled.sparkSession.sparkContext.broadcast(weight)
+
+    def clustered(rows: pa.Table) -> pa.Table:
+        rows = sorted(rows.to_pylist(), key=lambda r: (r["place"], r["cells"], r["counts"]))
+        model = Model(shared.value, np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(16))
+        counts = np.zeros((len(rows), DIMENSIONS), np.float32)
+        for x, r in enumerate(rows):
+            counts[x, np.frombuffer(r["cells"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
+        size, v = size_class(counts), model.vectors(counts)
+        centre = centres_of(v, centroids)
+        own = (v @ centre.T).max(axis=1)
+        return pa.table({"lang": [rows[0]["lang"]], "centroids": pa.array([centre.astype(np.float32).tobytes()], pa.binary()), "own": pa.array([own.astype(np.float64).tobytes()], pa.binary()), "size": pa.array([size.astype(np.int32).tobytes()], pa.binary())})
+
+    got = sampled.groupBy("lang").applyInArrow(clustered, "lang string, centroids binary, own binary, size binary").collect()  # a row a language
+    got.sort(key=lambda r: r["lang"])
+    if not got:
+        return None
+    centre = [np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMENSIONS) for r in got]
+    own, size = (np.concatenate([np.frombuffer(r[c], kind) for r in got]) for c, kind in (("own", np.float64), ("size", np.int32)))
+    return Model(weight, np.concatenate(centre), [r["lang"] for r, c in zip(got, centre, strict=True) for _ in c], least_similarities(own, size))
 
 
 def training_sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str, seed: str) -> DataFrame:
@@ -145,14 +181,13 @@ def training_sample(labelled: DataFrame, per_language: int, id_col: str, text_co
 def learn(labelled: DataFrame, per_language: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: str = "language-1") -> Model | None:
     """A model from a bounded sample of rows with a language and a letter; None without any.
 
-    N-grams are counted on the executors; the driver gets at most ``per_language`` sparse
-    count vectors for each of at most ``LANGUAGES`` languages, whatever the table's size; more languages
-    are an error. Other columns, whatever their names, are ignored.
+    N-grams are counted and each language's centroids are found on the executors; the driver gets a few vectors
+    for each of at most ``LANGUAGES`` languages, whatever the table's size; more languages are an error. Other columns, whatever their names, are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 18):
+            for batch in slices_of(whole, "text"):
                 counts = gram_counts(batch.column("text"))
                 cells = [np.flatnonzero(c).astype(np.uint16) for c in counts]
                 values = [c[x].astype(np.uint32).tobytes() for c, x in zip(counts, cells, strict=True)]
@@ -163,10 +198,7 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE, id_col: str = "doc_id
     sampled = written(sampled, "sample")
     if (n := sampled.select("lang").distinct().count()) > LANGUAGES:
         raise ValueError(f"{n} languages; at most {LANGUAGES} can be learned")
-    rows = sorted(sampled.collect(), key=lambda r: (r["lang"], r["place"], bytes(r["cells"]), bytes(r["counts"])))  # bounded by both parameters
-    if not rows:
-        return None
-    return fit([(r["lang"], np.frombuffer(r["cells"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in rows])
+    return fit(sampled)
 
 
 def identify(df: DataFrame, model: Model | None, text_col: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:
@@ -184,7 +216,7 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", prefix:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for whole in batches:
-            for batch in slices(whole, text_col, 1 << 19):
+            for batch in slices_of(whole, text_col):
                 texts = batch.column(text_col)
                 lettered = np.array([t is not None and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
                 language, score, rejected = np.full(len(lettered), UNKNOWN, object), np.zeros(len(lettered)), ~lettered

@@ -4,8 +4,11 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from spectrail.llm import language, secrets
@@ -120,3 +123,34 @@ def test_held_out(spark):
     got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").select(language.held_out()).collect()]
     assert got == [i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i in ids]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_memory_follows_rows_too(spark):
+    """Ten thousand texts of two words in one batch."""
+    batch = pa.RecordBatch.from_pydict({"text": [f"word{i} other" for i in range(10_000)]})
+    parts = list(language.slices_of(batch, "text"))
+    assert max(p.num_rows for p in parts) <= language.SLICE_ROWS and sum(p.num_rows for p in parts) == 10_000
+    tracemalloc.start()
+    try:
+        counts = sum(int(language.gram_counts(p.column("text")).sum()) for p in parts)
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    finally:
+        tracemalloc.stop()
+    assert counts > 10_000
+    some = [int(language.gram_counts(p.column("text").slice(0, 1)).sum()) for p in parts[:3]]
+    assert some == [int(language.gram_counts(p.column("text"))[0].sum()) for p in parts[:3]]
+
+
+def test_fit_on_executors_is_what_one_task_gives(spark):
+    """Counts by dimension and centroids, against the same on one machine."""
+    texts = [(i, " ".join(f"{a}{(i * k) % 7}" for k in range(1, 30)), lang) for i in range(120) for lang, a in (("x", "foo"), ("y", "bär"), ("z", "quux"))]
+    df = spark.createDataFrame([(i * 3 + ord(lang) - ord("x"), t, lang) for i, t, lang in texts], "doc_id long, text string, lang string")
+    model = language.learn(df, per_language=50)
+    sampled = language.training_sample(df, 50, "doc_id", "text", "lang", "language-1").collect()
+    counts = language.gram_counts(pa.array([r.text for r in sampled]))
+    weight = (np.log((1 + len(sampled)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+    assert len(sampled) == 150 and np.allclose(model.weight, weight) and model.language == [x for x in "xyz" for _ in range(4)]
+    v = model.vectors(counts)
+    for n, lang in enumerate("xyz"):
+        rows = sorted((r.place, k) for k, r in enumerate(sampled) if r.lang == lang)
+        assert np.allclose(model.centroids[4 * n : 4 * n + 4], language.centres_of(v[[k for _, k in rows]], 4), atol=1e-5)
