@@ -141,7 +141,7 @@ def with_cached(rows: DataFrame, held: DataFrame, key: str, columns: list[str])
 
 
 def _features(spark: SparkSession, config: BuildConfig, store: Store | None, local: FragmentPredictor | None, times: TimePredictor | None) -> tuple[DataFrame, dict]:
-    pin = tables.read_matches(spark, config.match_table, config.max_rows)
+    pin = tables.read_matches(spark, config.match_table, config.max_rows, lambda df: _held(df, f"{config.cache_dir}/lines")[0])
     if times is not None and "Xcorr" not in pin.columns:
         raise ValueError("retention times need the column Xcorr")
     # each input is parsed once, into a table that later steps read

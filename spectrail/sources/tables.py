@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spectrail.schemas import REQUIRED, ROW_ID, require
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
 # The endings of match tables and of spectra, in the order in which files are looked for.
 MATCH_ENDINGS = (".pin.parquet", ".pin.tsv.gz", ".pin.tsv", ".pin.gz", ".pin", ".tsv.gz", ".tsv")
 SPECTRUM_ENDINGS = (".mgf.parquet", ".mgf.gz", ".mgf")
@@ -18,15 +22,16 @@ def bare_name(path: str) -> str:
     return path.rstrip("/").rpartition("/")[2].removesuffix(".gz")
 
 
-def read_matches(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+def read_matches(spark: SparkSession, path: str, limit: int | None = None, keep: Keep | None = None) -> DataFrame:
     """A match table with ``__row_id``, its rows' order; ``limit`` keeps the first rows of that order.
 
     Parquet is split over files and row groups; a row's number is its file's place in name order and
     its index there. Text is tab-separated with a header; more fields than columns
     stay in the last one (``Proteins``), so ragged lines lose nothing. Text columns stay text, whatever
-    they spell; the others are numbers where every value is one.
+    they spell; the others are numbers where every value is one. Kinds and numbers need a look at all lines before: ``keep``
+    writes a frame and reads it back, so that the text itself is parsed once.
     """
-    df = _parquet(spark, path) if bare_name(path).endswith(".parquet") else _text(spark, path)
+    df = _parquet(spark, path) if bare_name(path).endswith(".parquet") else _text(spark, path, keep)
     require(df, REQUIRED, f"the match table {path}")
     return first_rows(df, limit)
 
@@ -54,13 +59,14 @@ def _parquet(spark: SparkSession, path: str) -> DataFrame:
 TEXT_COLUMNS = ("SpecId", "Peptide", "Proteins", "spectrum_id", "peptidoform")
 
 
-def _text(spark: SparkSession, path: str) -> DataFrame:
+def _text(spark: SparkSession, path: str, keep: Keep | None = None) -> DataFrame:
     lines = spark.read.text(path)
     header = lines.first()
     names = header[0].rstrip("\r\n").split("\t") if header else []
     if not names:
         raise ValueError(f"{path} is empty")
     rows = fields(in_order(lines, header[0]), names)
+    rows = keep(rows) if keep else rows
     # one pass over the text for the splits' sizes and the columns' kinds: a row a split
     split = [F.col("__order.__file").alias("f"), F.col("__order.__block").alias("b")]
     splits = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("__order.__line").alias("first"), *_numeric(names)).orderBy("f", "b").collect()
