@@ -24,6 +24,9 @@ RANDOM = "random"
 #: Tokens that the battery judges: runs of these characters, of this length at least.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
+#: What parts of a token stand between, the least length that is judged, and hexadecimal digits of either case.
+SEPARATOR, LEAST = re.compile(r"[-_]+"), 16
+_ANY_HEX = re.compile(r"[0-9a-fA-F]+")
 #: Encodings from narrow to wide; a token's is the first that holds all its characters.
 ENCODINGS = (
     ("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -41,8 +44,8 @@ FOLLOW = {
 #: Share of vowels after a vowel and after a consonant of the same case.
 VOWELS = {True: 0.15, False: 0.5}
 _CODES = [{c: i for i, c in enumerate(letters)} for _, letters in ENCODINGS]
-#: Tokens whose randomness the battery rejects below this p-value are never reported (one random token in a thousand); the share of false discoveries allowed.
-REJECT, RATE = 0.001, 0.01
+#: The share of false discoveries allowed.
+RATE = 0.01
 #: Length classes (upper ends), each with its own part of the false-discovery budget; bins a unit of -log10 p.
 LENGTHS, BINS, TOP = (24, 32, 48, 64, 1 << 62), 10, 400
 
@@ -92,7 +95,7 @@ for _name, _letters in ENCODINGS:
 
 
 def battery(token: str) -> tuple[str, float, tuple[float, float, float]] | None:
-    """(encoding, p of randomness, evidence of each test) of a token.
+    """(encoding, p of randomness, evidence of each test) of a token. Hexadecimal digits of both cases are judged as those of one.
 
     Three tests in the inferred encoding: is its alphabet used uniformly, do classes of characters run as they
     should, do neighbours depend on each other. Each test looks both ways:
@@ -105,9 +108,10 @@ def battery(token: str) -> tuple[str, float, tuple[float, float, float]] | None:
     of characters within their class, classes that follow each other, vowels among neighbouring letters.
     """
     body = token.rstrip("=")
+    body = body.lower() if _ANY_HEX.fullmatch(body) else body
     found = next(((name, code) for (name, _), code in zip(ENCODINGS, _CODES, strict=True) if all(c in code for c in body)), None)
     n = len(body)
-    if found is None or n < 16:
+    if found is None or n < LEAST:
         return None
     name, code = found
     x = np.array([code[c] for c in body])
@@ -138,10 +142,22 @@ def p_prose(found: tuple[str, float, tuple[float, float, float]]) -> float:
     """The battery's p-value of a discovery: of prose looking as random as the token, all three tests together.
 
     Their evidence adds up to the likelihood ratio of randomness to prose. Prose has a ratio of x or more with a
-    chance of 1 / x at most, whatever the length and alphabet. A token whose randomness the battery rejects has
-    ratio 0: it is judged against random tokens that pass, so the bound holds, and is never reported.
+    chance of 1 / x at most, whatever the length and alphabet. Divided by the p of the classical tests, which is one at most, it only
+    grows: the less a token looks random to them, the more evidence it needs. Nothing is dropped before the control.
     """
-    return math.exp(-max(0.0, sum(found[2]))) if found[1] >= REJECT else 1.0
+    return min(1.0, math.exp(-max(0.0, sum(found[2]))) / max(found[1], 1e-300))
+
+
+def parts(token: str) -> list[str]:
+    """What of a token may be random: the whole, its parts between dashes and underscores written together, and each part that is long enough."""
+    cut = [p for p in SEPARATOR.split(token.rstrip("=")) if p]
+    return list(dict.fromkeys([token, *(["".join(cut), *(p for p in cut if len(p) >= LEAST)] if len(cut) > 1 or cut[:1] != [token.rstrip("=")] else [])]))
+
+
+def judged(token: str) -> float | None:
+    """The least p of a token's parts, times their number: the chance that prose gives any of them is no more. None if none can be judged."""
+    found = [f for f in map(battery, parts(token)) if f]
+    return min(1.0, len(found) * min(map(p_prose, found))) if found else None
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -161,9 +177,9 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, in
     for m in TOKEN.finditer(text):
         if any(a < m.end() and m.start() < b for a, b, _ in spans):
             continue
-        found = battery(m[0])
-        if found:
-            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), p_prose(found)))
+        p = judged(m[0])
+        if p is not None:
+            tokens.append((m.start(), m.end(), next(i for i, top in enumerate(LENGTHS) if len(m[0]) <= top), p))
     return spans, tokens
 
 
