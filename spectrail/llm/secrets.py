@@ -24,8 +24,8 @@ RANDOM = "random"
 #: Tokens that the battery judges: runs of these characters, of this length at least.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
-#: What parts of a token stand between, the least length that is judged, and hexadecimal digits of either case.
-SEPARATOR, LEAST = re.compile(r"[-_]+"), 16
+#: The least length of a part of a token that is judged, and hexadecimal digits of either case.
+LEAST = 16
 _ANY_HEX = re.compile(r"[0-9a-fA-F]+")
 #: Encodings from narrow to wide; a token's is the first that holds all its characters.
 ENCODINGS = (
@@ -149,9 +149,14 @@ def p_prose(found: tuple[str, float, tuple[float, float, float]]) -> float:
 
 
 def parts(token: str) -> list[str]:
-    """What of a token may be random: the whole, its parts between dashes and underscores written together, and each part that is long enough."""
-    cut = [p for p in SEPARATOR.split(token.rstrip("=")) if p]
-    return list(dict.fromkeys([token, *(["".join(cut), *(p for p in cut if len(p) >= LEAST)] if len(cut) > 1 or cut[:1] != [token.rstrip("=")] else [])]))
+    """What of a token may be random, if long enough: the whole, what stands between underscores, its groups between dashes written together, and each group.
+
+    Underscores hold the words of names together, so what they separate is never joined.
+    """
+    found = [token]
+    for name in token.rstrip("=").split("_"):
+        found += [name.replace("-", ""), *name.split("-")]
+    return list(dict.fromkeys(p for p in found if len(p) >= LEAST))
 
 
 def judged(token: str) -> float | None:

@@ -80,11 +80,47 @@ def test_random_tokens_of_narrow_encodings(spark):
 
 
 def test_battery():
-    assert secrets.battery("aaaaaaaaaaaaaaaaaaaaaaaa")[1] < secrets.REJECT
-    assert secrets.battery("0123456789abcdef" * 3)[1] < secrets.REJECT
+    assert secrets.battery("aaaaaaaaaaaaaaaaaaaaaaaa")[1] < 0.001
+    assert secrets.battery("0123456789abcdef" * 3)[1] < 0.001
+    assert secrets.battery("8f3a90c1d27be64550f1ac98e37d2b64") == secrets.battery("8F3A90c1d27be64550f1AC98e37d2B64")
     assert secrets.battery("8f3a90c1d27be64550f1ac98e37d2b64")[0] == "hex"
 
 
+def test_rejected_tokens_need_more_evidence():
+    """Nothing is dropped before the control, but what the classical tests find unlikely is less of a discovery."""
+    weak, strong = ("hex", 1e-6, (20.0, 5.0, 0.0)), ("hex", 1.0, (20.0, 5.0, 0.0))
+    assert secrets.p_prose(strong) < secrets.p_prose(weak) < 1
+    assert secrets.p_prose(("hex", 0.0, (0.0, 0.0, 0.0))) == 1
+
+
+def test_parts():
+    assert secrets.parts("0f8fad5b-d9cb-469f-a165-70867728950e") == ["0f8fad5b-d9cb-469f-a165-70867728950e", "0f8fad5bd9cb469fa16570867728950e"]
+    assert secrets.parts("sk_live_abcdefghijklmnop") == ["sk_live_abcdefghijklmnop", "abcdefghijklmnop"]
+    assert secrets.parts("ASN1_F_D2I_ASN1_OBJECT") == ["ASN1_F_D2I_ASN1_OBJECT"]
+    assert secrets.judged("-" * 20) is not None and secrets.judged("=" * 20) is None
+
+
+def test_keys_with_separators_and_mixed_hex(spark):
+    """Keys in groups, behind prefixes or in hexadecimal digits of both cases are kept, and names beside them are not."""
+    r = random.Random(31)
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    hexadecimal, word, digits = "0123456789abcdef", string.ascii_letters + string.digits, string.digits
+    shapes = {
+        "uuid": lambda: "-".join(some(hexadecimal, n) for n in (8, 4, 4, 4, 12)), "mixed": lambda: some(hexadecimal + "ABCDEF", 32),
+        "groups": lambda: f"xoxb-{some(digits, 12)}-{some(word, 24)}", "short": lambda: f"ghp_{some(word, 36)}", "long": lambda: f"sk_live_{some(word, 24)}",
+    }
+    data = [(name, f"id {make()} here") for name, make in shapes.items() for _ in range(200)]
+    words = "get set user account server update report version comment value order number path file name long index table buffer reader writer".split()
+    styles = [lambda w: "_".join(w), lambda w: "".join(x.title() for x in w), lambda w: "_".join(w).upper(), lambda w: "-".join(w)]
+    data += [("names", f"id {r.choice(styles)([r.choice(words) for _ in range(r.randint(5, 8))])} here") for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(data)], "doc_id long, text string").repartition(8)
+    got = {x.doc_id: x.random for x in secrets.find_secrets(df).collect()}
+    share = {name: np.mean([bool(got[i]) for i, (n, _) in enumerate(data) if n == name]) for name in [*shapes, "names"]}
+    assert all(share[name] >= 0.9 for name in shapes), share
+    assert share["names"] <= 0.001, share
+    assert all((x.start, x.end) == (3, len(data[i][1]) - 5) for i in got for x in got[i])
+
+
 def test_thresholds():
     counts = {(1, 5): 900, (1, 60): 40}
     cut = secrets.thresholds(counts, {1: 940})
