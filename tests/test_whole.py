@@ -27,3 +27,7 @@ def found(spark, folder, name):
 def test_scored_rows(spark, tmp_path):
     got = found(spark, tmp_path, "scored_rows")
     assert [r[0] for r in got if r[1] > 0] == list(range(40)) and got[40] == (40, 0.0, 0.0)
+
+
+def test_observed_times(spark, tmp_path):
+    assert found(spark, tmp_path, "observed_times") == [*((i, i * 10 + 5.0) for i in range(40)), (40, 0.0)]
