@@ -31,3 +31,7 @@ def test_scored_rows(spark, tmp_path):
 
 def test_observed_times(spark, tmp_path):
     assert found(spark, tmp_path, "observed_times") == [*((i, i * 10 + 5.0) for i in range(40)), (40, 0.0)]
+
+
+def test_predicted_rows(spark, tmp_path):
+    assert found(spark, tmp_path, "predicted_rows") == [(i, i % 2, i * 10 + 5.0) for i in range(40)]
