@@ -35,3 +35,7 @@ def test_observed_times(spark, tmp_path):
 
 def test_predicted_rows(spark, tmp_path):
     assert found(spark, tmp_path, "predicted_rows") == [(i, i % 2, i * 10 + 5.0) for i in range(40)]
+
+
+def test_fill_and_insert(spark, tmp_path):
+    assert found(spark, tmp_path, "fill_and_insert") == [*((i, i, i * 10 + 5.0, "O") for i in range(40)), (40, 90, 0.0, "O")]
